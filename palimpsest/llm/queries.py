@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.captures import moments
 from ..sources.tables import table
+from . import mixing, perplexity, repetition
+from .encoding import encode_corpus
 from .event_runs import collapse_runs, seconds_between
 
 
@@ -24,7 +26,43 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return runs.filter(F.col("n") >= 2).select("url", "first_ts", "last_ts")
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Every text as token ids."""
+    return encode_corpus(table(spark, d, "documents"))
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of every mix with the number of their uses."""
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of every source in every mix."""
+    return mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of which two fifths or more repeat what they said before."""
+    return repetition.found(table(spark, d, "documents"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The repeated share of every document."""
+    return repetition.repeated_share(table(spark, d, "documents"))
+
+
+def p8_perplexity(spark: SparkSession, d: str) -> DataFrame:
+    """Perplexity and band of every document."""
+    return perplexity.perplexities(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_runs": p1_runs,
+    "p6_ids": p6_ids,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
+    "p8_found": p8_found,
+    "p8_perplexity": p8_perplexity,
+    "p8_shares": p8_shares,
 }
