@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.captures import moments
 from ..sources.tables import table
-from . import mixing, perplexity, repetition
+from . import addresses, mixing, names, perplexity, repetition
 from .encoding import encode_corpus
 from .event_runs import collapse_runs, seconds_between
 
@@ -26,6 +26,26 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return runs.filter(F.col("n") >= 2).select("url", "first_ts", "last_ts")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of place ids that mean the same restaurant."""
+    return names.same_restaurant_pairs(table(spark, d, "current_list"), table(spark, d, "eater38_places"))
+
+
+def p2_restaurants(spark: SparkSession, d: str) -> DataFrame:
+    """The class of every place id that shares its restaurant with another."""
+    return names.same_restaurant(table(spark, d, "current_list"), table(spark, d, "eater38_places"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of address texts that denote the same street door."""
+    return addresses.same_address_pairs(table(spark, d, "current_list"), table(spark, d, "eater38_places"))
+
+
+def p4_doors(spark: SparkSession, d: str) -> DataFrame:
+    """Every address text with the class of its street door."""
+    return addresses.same_door(table(spark, d, "current_list"), table(spark, d, "eater38_places"))
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     """Every text as token ids."""
     return encode_corpus(table(spark, d, "documents"))
@@ -59,6 +79,10 @@ def p8_perplexity(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_runs": p1_runs,
+    "p2_found": p2_found,
+    "p2_restaurants": p2_restaurants,
+    "p4_found": p4_found,
+    "p4_doors": p4_doors,
     "p6_ids": p6_ids,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
