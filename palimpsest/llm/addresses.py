@@ -79,7 +79,7 @@ def resolve(read: DataFrame) -> DataFrame:
     d = checkpoint(d.withColumn("street", F.coalesce("canonical", "street")).drop("canonical"))
     full = d.filter("number <> '' and street <> '' and suffix <> '' and town <> ''")
     own = ["number", "dir", "street", "suffix"]
-    d = _filled(d, full, "town", [own, ["dir", "street", "suffix"], ["number", "street"], ["street"]])
+    d = checkpoint(_filled(d, full, "town", [own, ["dir", "street", "suffix"], ["number", "street"], ["street"]]))
     known = d.filter("number <> '' and street <> '' and suffix <> '' and town <> ''").withColumn("way", F.concat_ws("|", "dir", "suffix"))
     # what is missing of direction and suffix is one choice together
     d = d.withColumn("way", F.when(F.col("suffix") == "", F.lit("")).otherwise(F.concat_ws("|", "dir", "suffix")))
@@ -88,7 +88,7 @@ def resolve(read: DataFrame) -> DataFrame:
     sided = d.filter(gap)
     d = _filled(d.filter(~gap), known, "way", [[*at, "zip"], at, ["street", "town", "zip"], ["street", "town"]])
     sided = _filled(sided, known, "way", [[*at, "dir"], ["street", "town", "dir"]])
-    d = d.unionByName(sided)
+    d = checkpoint(d.unionByName(sided))
     parts = F.split("way", r"\|")
     filled = (F.col("suffix") == "") & (F.col("way") != "")
     return d.withColumn("dir", F.when(filled, parts[0]).otherwise(F.col("dir"))).withColumn("suffix", F.when(filled, parts[1]).otherwise(F.col("suffix"))).drop("way")
@@ -133,7 +133,7 @@ def same_door(*tables: DataFrame, regions: frozenset[str] = REGIONS) -> DataFram
         agree = agree & (F.col(c) == F.col(f"top_{c}"))
     numeric = F.col("street").rlike("^[0-9]+$") | F.col("top_street").rlike("^[0-9]+$")
     agree = agree & F.when(numeric, F.col("street") == F.col("top_street")).otherwise(F.levenshtein("street", "top_street") <= 2)
-    links = links.filter(agree).select(F.col("text").alias("a"), F.col("top").alias("b"))
+    links = checkpoint(links.filter(agree).select(F.col("text").alias("a"), F.col("top").alias("b")))
     merged = components(links).withColumnRenamed("node", "form")
     members = d.join(forms.select(*door, "other", F.col("text").alias("form")), [*door, "other"]).select("text", "form")
     classes = members.join(merged, "form", "left").select("text", F.coalesce("component", "form").alias("door"))
