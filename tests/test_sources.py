@@ -4,7 +4,7 @@ import json
 import os
 
 
-from palimpsest.operators.extract import extract_entries, from_cards, from_linked_data, from_state, labelled
+from palimpsest.operators.extract import extract_entries, from_cards, from_linked_data, from_state, labelled, page_hours
 from palimpsest.sources import files, sinks
 from palimpsest.streaming import incremental
 
@@ -92,6 +92,13 @@ def test_extraction_prefers_and_fills(spark):
     assert extract_entries(pages.limit(0)).collect() == []
 
 
+def test_page_hours(spark):
+    ld = '<script type="application/ld+json">{"a": [{"openingHoursSpecification": {"dayOfWeek": ["https://schema.org/Monday", "Tu", "Someday"], "opens": "9:00", "closes": "17:00"}, "openingHours": ["Fri-Sat 10am-2pm", "Mo-Fr 9-17", "Sun 9-10"]}],}</script>'
+    pages = [("ld", ld + "Wed 1pm-2pm"), ("text", "<b>Wed</b> 1pm-2pm<script>Thu 1pm-2pm</script>"), ("bad", '<script type="application/ld+json">{</script>Thu 3-4pm'), ("none", "x"), ("null", None)]
+    got = sorted(map(tuple, page_hours(spark.createDataFrame(pages, "page string, body string")).collect()))
+    assert got == [("bad", "text", "thu", "03:00", "16:00"), ("ld", "linked", "fri", "10:00", "14:00"), ("ld", "linked", "mon", "09:00", "17:00"), ("ld", "linked", "sat", "10:00", "14:00"), ("ld", "linked", "tue", "09:00", "17:00"), ("text", "text", "wed", "13:00", "14:00")]
+
+
 def test_sinks(spark, tmp_path):
     p = spark.createDataFrame([("b", "x", 1.0, 2.0), ("A", "y", None, None)], "name string, id string, lat double, lng double")
     f = [json.loads(r.feature) for r in sinks.features(p).collect()]
