@@ -33,25 +33,78 @@ def language(lang: Column) -> Column:
     return F.when(base == "", "und").otherwise(base)
 
 
-def _hash(lang: str, gram: tuple) -> int:
-    return xxhash.xxh64_intdigest("\x1f".join((lang, *gram)).encode("utf-8", "surrogatepass")) - (1 << 63)
+#: Odd 64-bit constants with well spread bits, and one tag for each kind of n-gram.
+_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_TRI, _CTX, _BI, _MID, _UNI = (np.uint64(i) for i in range(1, 6))
+_START = np.uint64(7)
+
+
+def _mix(a: np.ndarray | np.uint64, b: np.ndarray | np.uint64) -> np.ndarray:
+    """A 64-bit hash of two 64-bit hashes, for whole arrays."""
+    with np.errstate(over="ignore"):
+        h = (a ^ (b * _M1)) * _M2
+        h = (h ^ (h >> np.uint64(29))) * _M1
+        return h ^ (h >> np.uint64(32))
+
+
+class _Stream:
+    """The word hashes of a batch of texts one after another, two marks before each text."""
+
+    def __init__(self, b: pa.RecordBatch) -> None:
+        known: dict[str, int] = {}
+        hashes: list[int] = []
+        lengths: list[int] = []
+        for text in b.column("text").to_pylist():
+            w = words(text)
+            lengths.append(len(w))
+            hashes += (_START, _START)
+            for x in w:
+                h = known.get(x)
+                if h is None:
+                    h = known[x] = xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"))
+                hashes.append(h)
+        n = np.array(lengths, dtype=np.int64)
+        at = np.arange(int(n.sum())) + np.repeat(2 * (np.arange(len(n)) + 1), n)
+        w = np.array(hashes, dtype=np.uint64)
+        codes = b.column("lang").dictionary_encode()
+        self.langs = codes.dictionary
+        self.doc = np.repeat(np.arange(len(n)), n)
+        self.lang = codes.indices.to_numpy()[self.doc]
+        tags = np.array([xxhash.xxh64_intdigest(x) for x in self.langs.to_pylist()], dtype=np.uint64)
+        self.tag = tags[self.lang]
+        self.w1, self.w2, self.w3 = w[at - 2], w[at - 1], w[at]
+        self.head = _mix(_mix(_mix(self.tag, _TRI), self.w1), self.w2)
+        self.tri = _mix(self.head, self.w3).view(np.int64)
+
+
+COUNTS = "lang string, n bigint, tri bigint, ctx bigint, bi bigint, mid bigint, uni bigint"
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct trigrams of all texts of a batch with their counts, as hashes of themselves and their parts."""
+    for b in batches:
+        s = _Stream(b)
+        tri, at, n = np.unique(s.tri, return_index=True, return_counts=True)
+        tag, w2, w3 = s.tag[at], s.w2[at], s.w3[at]
+        parts = [_mix(s.head[at], _CTX), _mix(_mix(_mix(tag, _BI), w2), w3), _mix(_mix(tag, _MID), w2), _mix(_mix(tag, _UNI), w3)]
+        yield pa.RecordBatch.from_arrays([s.langs.take(pa.array(s.lang[at])), pa.array(n, pa.int64()), pa.array(tri), *[pa.array(p.view(np.int64)) for p in parts]], names=["lang", "n", "tri", "ctx", "bi", "mid", "uni"])
+
+
+EVENTS = "k1 bigint, k2 bigint, tri bigint, n bigint"
 
 
-def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its distinct trigrams with counts, as hashes of itself and its parts; two marks stand before the text."""
-    names = ["key", "lang", "n", "tri", "ctx", "bi", "mid", "uni"]
+def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its distinct trigrams with counts."""
     for b in batches:
-        cols: list[list] = [[] for _ in names]
-        for key, lang, text in zip(*(b.column(c).to_pylist() for c in ("key", "lang", "text"))):
-            w = ["<s>", "<s>", *words(text)]
-            seen: dict[tuple, int] = {}
-            for g in zip(w, w[1:], w[2:]):
-                seen[g] = seen.get(g, 0) + 1
-            for g, n in seen.items():
-                row = (key, lang, n, _hash(lang, g), _hash(lang, (*g[:2], "")), _hash(lang, g[1:]), _hash(lang, (g[1], "", "")), _hash(lang, g[2:]))
-                for c, v in zip(cols, row):
-                    c.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), *[pa.array(c, pa.int64()) for c in cols[2:]]], names=names)
+        s = _Stream(b)
+        order = np.lexsort((s.tri, s.doc))
+        tri, doc = s.tri[order], s.doc[order]
+        fresh = np.ones(len(tri), bool)
+        fresh[1:] = (tri[1:] != tri[:-1]) | (doc[1:] != doc[:-1])
+        at = np.flatnonzero(fresh)
+        n = np.diff(np.append(at, len(tri)))
+        take = pa.array(doc[at])
+        yield pa.RecordBatch.from_arrays([b.column("k1").take(take), b.column("k2").take(take), pa.array(tri[at]), pa.array(n, pa.int64())], names=["k1", "k2", "tri", "n"])
 
 
 def _level(counts: DataFrame, gram: str, context: str, lower: DataFrame, lower_key: str) -> DataFrame:
@@ -86,9 +139,10 @@ def kneser_ney(grams: DataFrame) -> DataFrame:
 
 
 def _sorted_row(batch: pa.Table) -> pa.Table:
+    """A row of the model: its hashes in order and their log probabilities, as bytes (lists are slow to pass on)."""
     at = np.argsort(batch.column("tri").to_numpy())
     h, p = batch.column("tri").to_numpy()[at], batch.column("logp").to_numpy()[at]
-    return pa.table({"bucket": batch.column("bucket").slice(0, 1), "hashes": pa.array([h], pa.list_(pa.int64())), "logps": pa.array([p], pa.list_(pa.float64()))})
+    return pa.table({"bucket": batch.column("bucket").slice(0, 1), "hashes": pa.array([h.tobytes()], pa.binary()), "logps": pa.array([p.tobytes()], pa.binary())})
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,18 +151,18 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         model = np.flatnonzero(~b.column("hashes").is_null().to_numpy(zero_copy_only=False))
         edges = [0, *model.tolist(), b.num_rows]
-        keys, logs = [], []
+        parts: list[tuple] = []
         for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
             if i:
-                h, p = b.column("hashes")[lo].values.to_numpy(), b.column("logps")[lo].values.to_numpy()
+                h, p = np.frombuffer(b.column("hashes")[lo].as_py(), np.int64), np.frombuffer(b.column("logps")[lo].as_py(), np.float64)
                 lo += 1
             if lo < hi:
-                part = b.slice(lo, hi - lo)
-                keys.append(part.column("key"))
-                logs.append(p[np.searchsorted(h, part.column("tri").to_numpy())] * part.column("n").to_numpy())
-        if keys:
-            t = pa.table({"key": pa.concat_arrays(keys), "logp": pa.array(np.concatenate(logs))})
-            yield from t.group_by("key").aggregate([("logp", "sum")]).rename_columns(["key", "logp"]).to_batches()
+                k1, k2, tri, n = (b.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for c in ("k1", "k2", "tri", "n"))
+                parts.append((k1, k2, p[np.searchsorted(h, tri)] * n, n))
+        if parts:
+            t = pa.table(dict(zip(("k1", "k2", "logp", "n"), (np.concatenate(c) for c in zip(*parts)))))
+            t = t.group_by(["k1", "k2"]).aggregate([("logp", "sum"), ("n", "sum")]).select(["k1", "k2", "logp_sum", "n_sum"]).rename_columns(["k1", "k2", "logp", "n"])
+            yield from t.to_batches()
 
 
 def perplexities(documents: DataFrame) -> DataFrame:
@@ -116,26 +170,27 @@ def perplexities(documents: DataFrame) -> DataFrame:
 
     ``low`` and ``high`` are the band of the language; verdict is ``repetitive`` below it, ``odd`` above it, ``kept``
     between, and ``empty`` for texts without words, null and empty ones included. Equal texts of a language are
-    counted and scored once. Other columns are ignored.
+    counted and scored once (they are told apart by 128 bits). Other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), language(F.col("lang")).alias("lang"), "text")
-    keyed = rows.withColumn("key", F.when(F.col("text").isNotNull(), F.sha2(F.concat_ws("\x1f", "lang", "text"), 256)))
-    texts = keyed.filter("key is not null").groupBy("key").agg(F.first("lang").alias("lang"), F.first("text").alias("text"))
-    grams = checkpoint(texts.mapInArrow(_trigrams, "key string, lang string, n bigint, tri bigint, ctx bigint, bi bigint, mid bigint, uni bigint"))
-    model = checkpoint(kneser_ney(grams))
+    text = F.col("text").isNotNull()
+    keyed = rows.withColumn("k1", F.when(text, F.xxhash64("lang", "text"))).withColumn("k2", F.when(text, F.xxhash64("text", "lang")))
+    texts = checkpoint(keyed.filter("k1 is not null").groupBy("k1", "k2").agg(F.first("lang").alias("lang"), F.first("text").alias("text")))
+    model = checkpoint(kneser_ney(texts.select("lang", "text").mapInArrow(_counts, COUNTS)))
     buckets = max(1, math.ceil(model.count() / ROW))
     bucket = F.pmod(F.col("tri"), F.lit(buckets))
-    stored = model.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sorted_row, "bucket bigint, hashes array<bigint>, logps array<double>")
+    stored = model.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sorted_row, "bucket bigint, hashes binary, logps binary")
     stored = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     null = lambda t, n: F.lit(None).cast(t).alias(n)
-    events = grams.select(bucket.alias("bucket"), F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int").alias("salt"), null("array<bigint>", "hashes"), null("array<double>", "logps"), "key", "tri", "n")
-    both = stored.select("bucket", "salt", "hashes", "logps", null("string", "key"), null("bigint", "tri"), null("bigint", "n")).unionByName(events)
+    events = texts.mapInArrow(_events, EVENTS).select(bucket.alias("bucket"), F.pmod("k1", F.lit(SALTS)).cast("int").alias("salt"), null("binary", "hashes"), null("binary", "logps"), "k1", "k2", "tri", "n")
+    both = stored.select("bucket", "salt", "hashes", "logps", *[null("bigint", c) for c in ("k1", "k2", "tri", "n")]).unionByName(events)
     parts = max(shuffle_partitions(documents.sparkSession), 1)
-    both = both.repartition(parts, "bucket", "salt").sortWithinPartitions("bucket", "salt", F.col("hashes").isNull())
-    scored = both.mapInArrow(_look_up, "key string, logp double").groupBy("key").agg(F.sum("logp").alias("logp"))
-    lengths = grams.groupBy("key").agg(F.sum("n").alias("n_words"))
-    scored = scored.join(lengths, "key").select("key", "n_words", (-F.col("logp") / F.col("n_words")).alias("h"))
-    scored = checkpoint(keyed.select("doc_id", "lang", "key").join(scored, "key", "left").select("doc_id", "lang", "n_words", "h"))
+    # one number to sort by, so that the sort is a radix sort
+    both = both.withColumn("slot", (F.col("bucket") * SALTS + F.col("salt")) * 2 + F.col("hashes").isNull().cast("int"))
+    both = both.repartition(parts, "bucket", "salt").sortWithinPartitions("slot")
+    scored = both.mapInArrow(_look_up, "k1 bigint, k2 bigint, logp double, n bigint").groupBy("k1", "k2").agg(F.sum("logp").alias("logp"), F.sum("n").alias("n_words"))
+    scored = scored.select("k1", "k2", "n_words", (-F.col("logp") / F.col("n_words")).alias("h"))
+    scored = checkpoint(keyed.select("doc_id", "lang", "k1", "k2").join(scored, ["k1", "k2"], "left").select("doc_id", "lang", "n_words", "h"))
     mid = scored.groupBy("lang").agg(F.percentile_approx("h", 0.5).alias("mid"))
     dev = scored.join(F.broadcast(mid), "lang").groupBy("lang", "mid").agg((1.4826 * F.percentile_approx(F.abs(F.col("h") - F.col("mid")), 0.5)).alias("dev"))
     banded = scored.join(F.broadcast(dev), "lang", "left").withColumns({"low": F.exp(F.col("mid") - LOWER * F.col("dev")), "high": F.exp(F.col("mid") + UPPER * F.col("dev")), "perplexity": F.exp("h")})
