@@ -159,7 +159,7 @@ def snapshot_changes(captures: DataFrame, contents: DataFrame) -> DataFrame:
         .filter(F.col("n_items") > 0)
     )
     latest = checkpoint(latest)  # compact; otherwise the payloads would be parsed once for each use below
-    seen = moments(captures).join(latest.select("url", "digest"), ["url", "digest"])
+    seen = checkpoint(moments(captures).join(latest.select("url", "digest"), ["url", "digest"]))  # used twice below
     steps = with_neighbours(seen, "url", "ts", ["digest"])
     steps = steps.select("url", F.col("ts").alias("by_ts"), F.col("prev.digest").alias("prev"), "digest").filter(F.col("prev") != F.col("digest"))
     steps = checkpoint(steps)
