@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 _TAG = re.compile(r"<[^>]+>")
+#: The characters that Unicode and Python count as white space.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def shown(value: Column) -> Column:
+    """A value without outer white space; blank is null. Linear in the text, unlike a pattern with an end anchor."""
+    return F.nullif(F.btrim(value, F.lit(WHITE)), F.lit(""))
 
 
 def _each_once(s: pd.Series, f) -> pd.Series:

@@ -6,18 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import shown
 from .ordered import with_neighbours
 
 #: Snapshots of one list that an entity's array spans at most.
 CHUNK = 256
 
 
-def shown(c: Column) -> Column:
-    """A value as shown: without outer white space; blank is no value."""
-    t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return F.when(t != "", t)
-
-
 def _fold(rows: Column, values: list[str]) -> Column:
     """Fold a sorted array of rows into versions; one is appended only where a value or the sequence breaks."""
     version = "struct<idx_from:bigint,idx_to:bigint,valid_from:string,next_ts:string," + ",".join(f"{v}:string" for v in values) + ">"
@@ -44,7 +39,7 @@ def attribute_versions(snapshots: DataFrame, entity: str, source: str, moment: s
 
     Of several rows for an entity and moment the one that arrived last holds (ties: the larger values, then source).
     The snapshots of a source are all its moments. A version is a maximal stretch of consecutive snapshots of the
-    source that show the entity with the same values, compared by :func:`shown`; a snapshot without the entity ends
+    source that show the entity with the same values, compared as shown without outer white space; a snapshot without the entity ends
     it. valid_to is the source's next moment after the stretch, or ``open``. Rows without entity or moment are left
     out; a null source is a source of its own; a null arrival is the earliest. Other columns are ignored.
 

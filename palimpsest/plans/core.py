@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fetching, hours, text
+from ..functions.text import shown
 from ..operators import changes as ch
 from ..operators import extract, identity, merge, presence, state, views
 from ..operators.captures import digest_value, moment14, moments
 from ..operators.observations import first_of, latest_contents, listed, observed
-from ..operators.versions import shown
 from ..sources import sinks
 from ..sources.tables import table
 
