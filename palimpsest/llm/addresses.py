@@ -15,8 +15,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import shown
 from ..session import checkpoint
-from .linking import attribute_spellings, components, star_links, trimmed
+from .linking import apart, attribute_spellings, components, star_links
 from .parsing import REGIONS, address, deletions, sound
 
 PARTS = ["number", "other", "dir", "street", "suffix", "town", "zip"]
@@ -26,7 +27,7 @@ def texts(*tables: DataFrame) -> DataFrame:
     """(text): the distinct addresses of all tables, without outer spaces, blank ones left out."""
     out = None
     for t in tables:
-        one = t.select(trimmed(F.col("address")).alias("text")).filter("text is not null")
+        one = t.select(shown(F.col("address")).alias("text")).filter("text is not null")
         out = one if out is None else out.unionByName(one)
     return out.distinct()
 
@@ -132,7 +133,7 @@ def same_door(*tables: DataFrame, regions: frozenset[str] = REGIONS) -> DataFram
     for c in ("number", "dir", "suffix", "town"):
         agree = agree & (F.col(c) == F.col(f"top_{c}"))
     numeric = F.col("street").rlike("^[0-9]+$") | F.col("top_street").rlike("^[0-9]+$")
-    agree = agree & F.when(numeric, F.col("street") == F.col("top_street")).otherwise(F.levenshtein("street", "top_street") <= 2)
+    agree = agree & F.when(numeric, F.col("street") == F.col("top_street")).otherwise(F.coalesce(apart("street", "top_street", 2) >= 0, F.lit(False)))
     links = checkpoint(links.filter(agree).select(F.col("text").alias("a"), F.col("top").alias("b")))
     merged = components(links).withColumnRenamed("node", "form")
     members = d.join(forms.select(*door, "other", F.col("text").alias("form")), [*door, "other"]).select("text", "form")

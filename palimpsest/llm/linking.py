@@ -16,10 +16,20 @@ from .parsing import deletions, edits, sound
 SLIP = 0.3
 
 
-def trimmed(c: Column) -> Column:
-    """Without outer white space; blank is null."""
-    t = F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    return F.when(t != "", t)
+#: Characters of a word up to which edits are counted; longer words are alike if their length and one end are.
+COUNTED = 256
+
+
+def apart(a: str, b: str, most: int) -> Column:
+    """Edits between two columns if they are at most ``most``, else null.
+
+    Words over :data:`COUNTED` characters count as 0 edits apart if equal, and as 2 if they differ in length by two at
+    most and share their first or their last 32 characters, as they do after an edit at the other end.
+    """
+    x, y = F.col(a), F.col(b)
+    ends = (F.abs(F.length(x) - F.length(y)) <= 2) & ((F.left(x, F.lit(32)) == F.left(y, F.lit(32))) | (F.right(x, F.lit(32)) == F.right(y, F.lit(32))))
+    short = (F.length(x) <= COUNTED) & (F.length(y) <= COUNTED)
+    return F.when(x == y, 0).when(short, F.nullif(F.levenshtein(x, y, most), F.lit(-1))).when(ends & F.lit(most >= 2), 2)
 
 
 @F.pandas_udf(ArrayType(StringType()))

@@ -40,16 +40,44 @@ def sound(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1", word)
 
 
+#: From this length on a word's keys are its first and last half of it: one edit leaves one of the two as it was.
+LONG = 64
+
+
 def deletions(word: str) -> list[str]:
-    """The word and all words with one character less: two words one edit or transposition apart share one."""
-    return sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}) if len(word) > 3 else [word]
+    """The word and all words with one character less: two words one edit or transposition apart share one.
+
+    Long words have their beginning and end instead, which keeps the property with two keys; about the limit both.
+    """
+    if len(word) <= 3:
+        return [word]
+    out = {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))} if len(word) <= LONG + 1 else {word}
+    if len(word) >= LONG:
+        out |= {word[: LONG // 2] + "\x1e", "\x1e" + word[-(LONG // 2) :]}
+    return sorted(out)
+
+
+#: Cells of the table of edits at most; words that differ in more than that are as far apart as they are long.
+CELLS = 1 << 20
 
 
 @lru_cache(maxsize=1 << 16)
 def edits(a: str, b: str) -> int:
     """Damerau-Levenshtein distance with adjacent transpositions."""
-    if a == b:
-        return 0
+    n = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        n += 1
+    a, b = a[n:], b[n:]
+    n = 0
+    for x, y in zip(reversed(a), reversed(b)):
+        if x != y:
+            break
+        n += 1
+    a, b = a[: len(a) - n], b[: len(b) - n]
+    if not a or not b or len(a) * len(b) > CELLS:
+        return max(len(a), len(b))
     before: list[int] = []
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

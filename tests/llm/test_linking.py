@@ -38,6 +38,12 @@ def test_edits_share_a_deletion():
         for v in (w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + w[i + 1] + w[i] + w[i + 2 :]):
             assert edits(w, v) <= 1
             assert len(v) <= 3 or set(deletions(w)) & set(deletions(v))
+    for n in (62, 63, 64, 65, 66, 300):
+        w = "".join(rng.choice("abcdef") for _ in range(n))
+        for i in (0, 1, n // 2, n - 2):
+            for v in (w[:i] + w[i + 1 :], w[:i] + "z" + w[i + 1 :], w[:i] + "z" + w[i:]):
+                assert edits(w, v) == 1 and set(deletions(w)) & set(deletions(v))
+    assert edits("a" * 10_000, "b" * 10_000) == 10_000 and edits("ab", "ba") == 1 and edits("", "abc") == 3
     assert sound("Waboovotan".lower()) == sound("wabuvotan") and sound("vephokrebin") == sound("vefokrebin")
 
 
@@ -82,6 +88,13 @@ def test_doors(spark):
     assert found(spark, []) == found(spark, [None, ""]) == set()
 
 
+def test_very_long_names_and_addresses(spark):
+    long = "Zu" * 40_000
+    got = restaurants(spark, [("a", long + " Diner", None, None, None, None, None), ("b", "The " + long + "x Diner", None, None, None, None, None), ("c", "q " * 5_000, None, None, "9" * 9_000, None, None)])
+    assert got == {("a", "b")}
+    assert found(spark, [f"1 {long} St, B", f"1 {long} Street, B", "7 " * 9_000]) == {(f"1 {long} St, B", f"1 {long} Street, B")}
+
+
 def test_every_text_has_a_class(spark):
     df = spark.createDataFrame([("no number",), ("1 A St, B",), ("1 A Street, B",)], "address string")
     assert sorted(map(tuple, same_door(df).collect())) == [("1 A St, B", "1 A St, B"), ("1 A Street, B", "1 A St, B"), ("no number", "no number")]
