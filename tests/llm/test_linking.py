@@ -125,6 +125,12 @@ def test_restaurants(spark):
     assert restaurants(spark, []) == set()
 
 
+def test_names_below_another_restaurant_of_the_cell_are_compared(spark):
+    at = (None, None, None, 40.0005, -70.0005)
+    current = [("k1", "Kinlitrira Diner", *at), ("k2", "Kenlotrima Diner", *at), *((f"z{i}", "Zadelmoran Diner", *at) for i in range(3))]
+    assert restaurants(spark, current) == {("k1", "k2"), ("z0", "z1"), ("z0", "z2"), ("z1", "z2")}
+
+
 @pytest.mark.parametrize("n", [40])
 def test_a_hot_name_is_linked_by_a_star(spark, n):
     df = spark.createDataFrame([(f"x{i:02d}", "c") for i in range(n)], "node string, component string")
