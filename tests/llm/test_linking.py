@@ -131,6 +131,13 @@ def test_names_below_another_restaurant_of_the_cell_are_compared(spark):
     assert restaurants(spark, current) == {("k1", "k2"), ("z0", "z1"), ("z0", "z2"), ("z1", "z2")}
 
 
+def test_a_variant_of_two_restaurants_joins_the_most_probable_only(spark):
+    at = (None, None, None, 40.0005, -70.0005)
+    names = {"a1": "Kinlitrira", "a2": "Kinlitrira", "a3": "Kinlitrira", "b1": "Kenlotrema", "b2": "Kenlotrema", "x": "Kenlotrira"}
+    got = restaurants(spark, [(p, f"{n} Diner", *at) for p, n in names.items()])
+    assert got == {("a1", "a2"), ("a1", "a3"), ("a2", "a3"), ("a1", "x"), ("a2", "x"), ("a3", "x"), ("b1", "b2")}
+
+
 @pytest.mark.parametrize("n", [40])
 def test_a_hot_name_is_linked_by_a_star(spark, n):
     df = spark.createDataFrame([(f"x{i:02d}", "c") for i in range(n)], "node string, component string")
