@@ -1,6 +1,7 @@
 """Perplexity of every document under modified Kneser-Ney trigram models of its language, with rejection bands.
 
-Spark counts the n-grams of each language over all distinct texts. The model is stored as rows of sorted n-gram hashes with their log
+Spark counts the n-grams of each language over all documents; a text that several have passes once, with its number
+of copies. The model is stored as rows of sorted n-gram hashes with their log
 probabilities, one row per hash bucket, and looked up by binary search while the n-grams of the texts stream past.
 """
 
@@ -81,10 +82,16 @@ COUNTS = "lang string, n bigint, tri bigint, ctx bigint, bi bigint, mid bigint,
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct trigrams of all texts of a batch with their counts, as hashes of themselves and their parts."""
+    """The distinct trigrams of all texts of a batch with their counts, as hashes of themselves and their parts.
+
+    A text counts as often as its ``copies`` say, once without that column.
+    """
     for b in batches:
         s = _Stream(b)
-        tri, at, n = np.unique(s.tri, return_index=True, return_counts=True)
+        copies = b.column("copies").to_numpy() if "copies" in b.schema.names else np.ones(b.num_rows, np.int64)
+        tri, at, which = np.unique(s.tri, return_index=True, return_inverse=True)
+        n = np.zeros(len(tri), np.int64)
+        np.add.at(n, which, copies[s.doc])
         tag, w2, w3 = s.tag[at], s.w2[at], s.w3[at]
         parts = [_mix(s.head[at], _CTX), _mix(_mix(_mix(tag, _BI), w2), w3), _mix(_mix(tag, _MID), w2), _mix(_mix(tag, _UNI), w3)]
         yield pa.RecordBatch.from_arrays([s.langs.take(pa.array(s.lang[at])), pa.array(n, pa.int64()), pa.array(tri), *[pa.array(p.view(np.int64)) for p in parts]], names=["lang", "n", "tri", "ctx", "bi", "mid", "uni"])
@@ -170,13 +177,13 @@ def perplexities(documents: DataFrame) -> DataFrame:
 
     ``low`` and ``high`` are the band of the language; verdict is ``repetitive`` below it, ``odd`` above it, ``kept``
     between, and ``empty`` for texts without words, null and empty ones included. Equal texts of a language are
-    counted and scored once (they are told apart by 128 bits). Other columns are ignored.
+    scored once (they are told apart by 128 bits) and counted as often as they occur. Other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), language(F.col("lang")).alias("lang"), "text")
     text = F.col("text").isNotNull()
     keyed = rows.withColumn("k1", F.when(text, F.xxhash64("lang", "text"))).withColumn("k2", F.when(text, F.xxhash64("text", "lang")))
-    texts = checkpoint(keyed.filter("k1 is not null").groupBy("k1", "k2").agg(F.first("lang").alias("lang"), F.first("text").alias("text")))
-    model = checkpoint(kneser_ney(texts.select("lang", "text").mapInArrow(_counts, COUNTS)))
+    texts = checkpoint(keyed.filter("k1 is not null").groupBy("k1", "k2").agg(F.first("lang").alias("lang"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    model = checkpoint(kneser_ney(texts.select("lang", "text", "copies").mapInArrow(_counts, COUNTS)))
     buckets = max(1, math.ceil(model.count() / ROW))
     bucket = F.pmod(F.col("tri"), F.lit(buckets))
     stored = model.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sorted_row, "bucket bigint, hashes binary, logps binary")

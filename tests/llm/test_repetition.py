@@ -53,6 +53,12 @@ def test_perplexity_sums_to_one_and_bands(spark):
     assert perplexities(docs(spark, [])).collect() == []
 
 
+def test_copies_of_a_text_count(spark):
+    once, copied = (["a b c d", "a c b d"], ["a b c d", "a c b d", "a c b d", "a c b d"])
+    a, b = ({r.doc_id: r.perplexity for r in perplexities(docs(spark, t)).collect()} for t in (once, copied))
+    assert b[1] == b[3] < a[1] and b[0] > b[1]
+
+
 def test_model_probabilities(spark):
     from palimpsest.llm.perplexity import COUNTS, _counts, kneser_ney
 
