@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import shown
 from ..session import checkpoint
-from .linking import apart, attribute_spellings, components, star_links
+from .linking import attribute_spellings, components, star_links, with_edits
 from .parsing import REGIONS, address, deletions, sound
 
 PARTS = ["number", "other", "dir", "street", "suffix", "town", "zip"]
@@ -133,8 +133,8 @@ def same_door(*tables: DataFrame, regions: frozenset[str] = REGIONS) -> DataFram
     for c in ("number", "dir", "suffix", "town"):
         agree = agree & (F.col(c) == F.col(f"top_{c}"))
     numeric = F.col("street").rlike("^[0-9]+$") | F.col("top_street").rlike("^[0-9]+$")
-    agree = agree & F.when(numeric, F.col("street") == F.col("top_street")).otherwise(F.coalesce(apart("street", "top_street", 2) >= 0, F.lit(False)))
-    links = checkpoint(links.filter(agree).select(F.col("text").alias("a"), F.col("top").alias("b")))
+    agree = agree & F.when(numeric, F.col("street") == F.col("top_street")).otherwise(F.col("off").isNotNull())
+    links = checkpoint(with_edits(links, "street", "top_street", 2, "off").filter(agree).select(F.col("text").alias("a"), F.col("top").alias("b")))
     merged = components(links).withColumnRenamed("node", "form")
     members = d.join(forms.select(*door, "other", F.col("text").alias("form")), [*door, "other"]).select("text", "form")
     classes = members.join(merged, "form", "left").select("text", F.coalesce("component", "form").alias("door"))

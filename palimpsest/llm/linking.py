@@ -10,26 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from ..session import checkpoint
-from .parsing import deletions, edits, sound
+from .parsing import deletions, edits_within, sound
 
 #: Weight of a slip in a typed word, for each edit: a variant must be this much rarer than what it is attributed to.
 SLIP = 0.3
 
 
-#: Characters of a word up to which edits are counted; longer words are alike if their length and one end are.
+#: Characters of a word up to which the JVM counts edits; its band costs the square of the length, so longer ones go to Python.
 COUNTED = 256
 
 
-def apart(a: str, b: str, most: int) -> Column:
-    """Edits between two columns if they are at most ``most``, else null.
+def _long_distances(a: str, b: str, most: int, out: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            d = batch.column(out).to_pylist()
+            for i, v in enumerate(d):
+                if v is not None and v < 0:
+                    n = edits_within(batch.column(a)[i].as_py(), batch.column(b)[i].as_py(), most)
+                    d[i] = n if n <= most else None
+            yield batch.set_column(batch.schema.get_field_index(out), out, pa.array(d, pa.int32()))
 
-    Words over :data:`COUNTED` characters count as 0 edits apart if equal, and as 2 if they differ in length by two at
-    most and share their first or their last 32 characters, as they do after an edit at the other end.
-    """
+    return run
+
+
+def with_edits(df: DataFrame, a: str, b: str, most: int, out: str) -> DataFrame:
+    """Adds ``out``: the edits between two columns if they are at most ``most``, else null, whatever their length."""
     x, y = F.col(a), F.col(b)
-    ends = (F.abs(F.length(x) - F.length(y)) <= 2) & ((F.left(x, F.lit(32)) == F.left(y, F.lit(32))) | (F.right(x, F.lit(32)) == F.right(y, F.lit(32))))
     short = (F.length(x) <= COUNTED) & (F.length(y) <= COUNTED)
-    return F.when(x == y, 0).when(short, F.nullif(F.levenshtein(x, y, most), F.lit(-1))).when(ends & F.lit(most >= 2), 2)
+    near = F.abs(F.length(x) - F.length(y)) <= most
+    d = F.when(x == y, 0).when(short, F.nullif(F.levenshtein(x, y, most), F.lit(-1))).when(near, F.lit(-1)).cast("int")
+    df = df.withColumn(out, d)
+    return df.mapInArrow(_long_distances(a, b, most, out), df.schema)
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -40,7 +51,7 @@ def deletion_keys(words):  # noqa: ANN001, ANN201 - pandas Series of strings
 
 def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        d = [min(edits(x, y), edits(sound(x), sound(y)) + 1) for x, y in zip(b.column("word").to_pylist(), b.column("better").to_pylist())]
+        d = [min(edits_within(x, y, 2), edits_within(sound(x), sound(y), 2) + 1) for x, y in zip(b.column("word").to_pylist(), b.column("better").to_pylist())]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(d, pa.int32())], names=[*b.schema.names, "d"])
 
 
@@ -73,17 +84,18 @@ def star_links(keyed: DataFrame, node: str, rank: Column, carry: list[str]) -> D
     return keyed.join(top, "key").filter(F.col(node) != F.col("top")).select(node, "top", *carry, *[f"top_{c}" for c in carry])
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in (a, b): the component is its smallest node.
 
     Each round a node takes the smallest label among its neighbours and itself, then the label of its label, until
-    nothing changes. Every round ends in a reliable checkpoint. Links are stars, so a few rounds are enough; more
-    than ``rounds`` raise an error instead of giving a part.
+    nothing changes, however many rounds that takes. Every round ends in a reliable checkpoint. Links are stars and
+    short trees, so a few rounds are enough.
     """
     edges = links.select("a", "b").filter("a is not null and b is not null and a <> b").distinct()
     edges = checkpoint(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpoint(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
-    for _ in range(rounds):
+    changed = True
+    while changed:
         near = edges.join(labels, edges.b == labels.node).groupBy("a").agg(F.min("component").alias("m"))
         stepped = labels.join(near.withColumnRenamed("a", "node"), "node").select("node", F.col("component").alias("old"), F.least("component", "m").alias("component"))
         of = labels.select(F.col("node").alias("component"), F.col("component").alias("root"))
@@ -91,9 +103,7 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         new = checkpoint(new)
         changed = not new.filter("old <> component").isEmpty()
         labels = new.select("node", "component")
-        if not changed:
-            return labels
-    raise RuntimeError("components did not settle")
+    return labels
 
 
 def pairs(members: DataFrame, a: str, b: str) -> DataFrame:

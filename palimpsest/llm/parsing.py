@@ -5,6 +5,9 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 # Common vocabulary of postal addresses in English.
@@ -49,7 +52,7 @@ def deletions(word: str) -> list[str]:
 
     Long words have their beginning and end instead, which keeps the property with two keys; about the limit both.
     """
-    if len(word) <= 3:
+    if len(word) <= 1:
         return [word]
     out = {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))} if len(word) <= LONG + 1 else {word}
     if len(word) >= LONG:
@@ -57,38 +60,54 @@ def deletions(word: str) -> list[str]:
     return sorted(out)
 
 
-#: Cells of the table of edits at most; words that differ in more than that are as far apart as they are long.
-CELLS = 1 << 20
-
-
-@lru_cache(maxsize=1 << 16)
-def edits(a: str, b: str) -> int:
-    """Damerau-Levenshtein distance with adjacent transpositions."""
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Two words without their common beginning and end."""
+    n, m = 0, min(len(a), len(b))
+    while n < m and a[n] == b[n]:
         n += 1
     a, b = a[n:], b[n:]
-    n = 0
-    for x, y in zip(reversed(a), reversed(b)):
-        if x != y:
-            break
+    n, m = 0, min(len(a), len(b))
+    while n < m and a[-1 - n] == b[-1 - n]:
         n += 1
-    a, b = a[: len(a) - n], b[: len(b) - n]
-    if not a or not b or len(a) * len(b) > CELLS:
-        return max(len(a), len(b))
-    before: list[int] = []
-    row = list(range(len(b) + 1))
+    return a[: len(a) - n], b[: len(b) - n]
+
+
+def edits_within(a: str, b: str, most: int) -> int:
+    """Damerau-Levenshtein distance with adjacent transpositions if it is at most ``most``, else ``most`` + 1.
+
+    Only the cells at most ``most`` off the diagonal are filled, so long words take time linear in their length.
+    """
+    a, b = _trimmed(a, b)
+    if not a or not b or abs(len(a) - len(b)) > most:
+        return min(max(len(a), len(b)), most + 1)
+    far = most + 1
+    before: dict[int, int] = {}
+    row = {j: j for j in range(min(len(b), most) + 1)}
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
+        new = {0: i} if i <= most else {}
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
+            d = min(row.get(j, far) + 1, new.get(j - 1, far) + 1, row.get(j - 1, far) + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
+                d = min(d, before.get(j - 2, far) + 1)
+            new[j] = min(d, far)
+        if min(new.values()) > most:
+            return far
         before, row = row, new
-    return row[-1]
+    return row.get(len(b), far)
+
+
+@lru_cache(maxsize=1 << 16)
+def edits(a: str, b: str) -> int:
+    """Damerau-Levenshtein distance with adjacent transpositions, by bands of twice the width until one holds it."""
+    a, b = _trimmed(a, b)
+    longest = max(len(a), len(b))
+    if longest - (Counter(a) & Counter(b)).total() == longest:  # no letter in common
+        return longest
+    most = 4
+    while (d := edits_within(a, b, most)) > most:
+        most *= 2
+    return d
 
 
 def _ordinal(t: str) -> str | None:
@@ -201,7 +220,6 @@ KINDS = {
     "brothers": "brothers bros", "sisters": "sisters", "sons": "sons", "daughters": "daughters", "company": "company co", "pub": "pub", "inn": "inn", "creamery": "creamery", "cantina": "cantina", "chophouse": "chophouse",
     "gelateria": "gelateria", "patisserie": "patisserie", "izakaya": "izakaya", "sushi": "sushi", "room": "room", "garden": "garden", "lounge": "lounge", "hall": "hall", "bodega": "bodega", "rice": "rice", "soup": "soup", "burger": "burger burgers",
     "old": "old", "new": "new", "little": "little", "mount": "mount mt", "saint": "saint st", "maison": "maison mai ma", "casa": "casa cas ca", "chez": "chez", "la": "la", "le": "le", "il": "il", "el": "el",
-    "quiet": "quiet", "hungry": "hungry", "golden": "golden", "blue": "blue", "smoky": "smoky", "velvet": "velvet", "copper": "copper", "lucky": "lucky", "salted": "salted", "crooked": "crooked", "second": "second",
 }
 #: Given names with their nicknames.
 GIVEN = {
@@ -248,46 +266,65 @@ def _slip(t: str) -> str | None:
     if len(t) < 5:
         return None
     for w, k in _KIND.items():
-        if len(w) >= 6 and abs(len(w) - len(t)) <= 1 and edits(t, w) == 1:
+        if len(w) >= 6 and abs(len(w) - len(t)) <= 1 and edits_within(t, w, 1) == 1:
             return k
     return None
 
 
-_INITIALS = {"wb": "wine bar", "sc": "supper club", "rc": "ramen counter", "tp": "tea parlor", "nh": "noodle house", "ch": "curry house", "sr": "seafood restaurant", "cs": "coffee shop", "ob": "oyster bar", "dh": "dumpling house", "es": "empanada stand", "fm": "fish market"}
+@dataclass(frozen=True)
+class Vocabulary:
+    """What the corpus adds to the fixed words: common words, names of towns, and the phrase that initials stand for."""
 
+    common: frozenset[str] = frozenset()
+    towns: frozenset[str] = frozenset()
+    initials: dict[str, str] = field(default_factory=dict)
 
-def name(text: str) -> dict[str, str]:
-    """Parts of a name: core (its own words, as one), given (name, or an initial), kinds (sorted words of its kind).
 
-    The order of the parts, articles, company forms and a place in brackets or after a separator do not matter.
-    """
+NOTHING = Vocabulary()
+
+
+def _segments(text: str, known: Vocabulary) -> Iterator[list[tuple[str, str]]]:
+    """The parts of a name between separators, each a list of (role, word); a role is kind, given or own."""
     s = fold(html.unescape(text))
     s = s.replace("&", " and ").replace("+", " and ")
     s = re.sub(r"(?<=\w)\W+(?:and|n)\W+bar\W*$", "", s)  # a bar beside the house is no other house
     s = re.sub(r"'s\b|s'(?!\w)", lambda m: "" if m.group().startswith("'") else "s", s)
-    segments = [x for x in re.split(r"[,;:()\[\]]|\s[-|/]+\s", s) if x.strip()]
-    kinds: set[str] = set()
-    given, cores = "", []
-    for seg in segments:
+    for seg in re.split(r"[,;:()\[\]]|\s[-|/]+\s", s):
         seg = re.sub(r"\b([a-z])\.\s?([a-z])\b\.?(?![a-z])", r"\1\2", seg)  # s.c. is sc
-        own: list[str] = []
+        out = []
         for m in re.finditer(r"[a-z0-9]+(?:[-'][a-z0-9]+)*(\.?)", seg):
             t, dotted = m.group().rstrip("."), bool(m.group(1))
             if t in _NOISE and not (dotted and len(t) == 1):
                 continue
-            if t in _INITIALS:
-                kinds.update(_INITIALS[t].split())
+            if t in _KIND or t in known.common:
+                out.append(("kind", _KIND.get(t, t)))
+            elif t in known.initials:
+                out += [("kind", k) for k in known.initials[t].split()]
             elif k := _kind(t, dotted):
-                kinds.add(k)
+                out.append(("kind", k))
             elif t in _NAME:
-                given = given or _NAME[t]
+                out.append(("given", _NAME[t]))
             elif len(t) == 1 and t.isalpha():
-                given = given or t
+                out.append(("given", t))
             else:
-                own.append(t)
-        if own:
-            cores.append(own)
-    words = cores[0] if cores else []
+                out.append(("own", t))
+        if out:
+            yield out
+
+
+def name(text: str, known: Vocabulary = NOTHING) -> dict[str, str]:
+    """Parts of a name: core (its own words, as one), given (name, or an initial), kinds (sorted words of its kind).
+
+    The order of the parts, articles, company forms and a town in brackets or after a separator do not matter.
+    """
+    kinds: set[str] = set()
+    given, words = "", []
+    for i, seg in enumerate(_segments(text, known)):
+        if i and all(w in known.towns for _, w in seg):
+            continue
+        kinds.update(w for role, w in seg if role == "kind")
+        given = given or next((w for role, w in seg if role == "given"), "")
+        words = words or [w for role, w in seg if role == "own"]
     if len(words) > 1:
         slips = [w for w in words if _slip(w)]
         if slips and len(slips) < len(words):
@@ -297,6 +334,17 @@ def name(text: str) -> dict[str, str]:
     return {"core": "".join(re.sub(r"[^a-z0-9]", "", w) for w in words), "given": given, "kinds": " ".join(sorted(kinds))}
 
 
+def name_evidence(text: str) -> tuple[list[tuple[str, str]], list[tuple[str, str]]]:
+    """What a name says about the vocabulary: (own word, beginning of what stands beside it), (initials, phrase of two kinds)."""
+    beside, phrases, own = [], [], []
+    for seg in _segments(text, NOTHING):
+        own += [w for role, w in seg if role == "own"]
+        phrases += [(a[0] + b[0], f"{a} {b}") for (r, a), (q, b) in zip(seg, seg[1:]) if r == q == "kind"]
+    if len(own) > 1:
+        beside = [(w, sound("".join(own[:i] + own[i + 1 :]))[:3]) for i, w in enumerate(own) if len(w) > 2]
+    return beside, phrases
+
+
 def phone(text: str | None) -> str:
     d = re.sub(r"\D", "", text or "")
     return d[-10:] if len(d) >= 7 else ""
