@@ -61,6 +61,12 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
 
+def p7_targets(spark: SparkSession, d: str) -> DataFrame:
+    """The report's target shares, limits, and whether a source is used."""
+    r = mixing.shares(table(spark, d, "documents"), table(spark, d, "mix_targets")).filter("max_repeats is not null")
+    return r.select("mix_id", "source", "target_share", "max_repeats", (F.col("n_tokens") > 0).alias("used"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents of which two fifths or more repeat what they said before."""
     return repetition.found(table(spark, d, "documents"))
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_ids": p6_ids,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
+    "p7_targets": p7_targets,
     "p8_found": p8_found,
     "p8_perplexity": p8_perplexity,
     "p8_shares": p8_shares,

@@ -62,12 +62,30 @@ def test_classifier_on_held_out_texts():
     assert np.allclose(p.sum(1), 1)
 
 
-def test_fit_is_the_bounded_least_squares_solution(spark):
-    plan = mixing.fit(docs(spark, none=40), targets(spark, [("m", "wet", 1.0, 2), ("m", "dry", 1.0, 2)]))
-    assert (plan.hard >= 0).all() and (plan.hard <= plan.caps + 1e-12).all()
-    rows = plan.docs.filter("soft is not null").collect()
+def test_fit_meets_its_targets_with_every_document(spark):
+    plan = mixing.fit(docs(spark, none=40), targets(spark, [("m", "wet", 1.0, 2), ("m", "dry", 1.0, 3), ("n", "dry", 1.0, 1)]))
+    rows = plan.docs.filter("tokens > 0").collect()
     soft, domain, n = np.array([r.soft for r in rows]), np.array([r.domain for r in rows]), np.array([r.tokens for r in rows])
-    r = mixing._rates(plan.start, plan.steps, plan.caps, domain, soft)
-    hard = {x.domain: x["sum(tokens)"] for x in plan.docs.filter("source is not null").groupBy("domain").sum("tokens").collect()}
-    got = plan.hard * np.array([hard[i] for i in range(2)]) + (r * n) @ soft
-    assert np.allclose(got / got.sum(), plan.target, atol=1e-3)
+    assert np.allclose(soft.sum(1), 1) and plan.passes <= 8
+    rates = plan.rates(domain, soft)
+    assert (rates >= 0).all() and (rates <= plan.caps[:, domain]).all()
+    got = (rates * n) @ soft
+    aim = plan.want * (1 - mixing.ROOM)
+    left = np.abs(np.where(plan.target > 0, aim - got, 0)).sum(1) / aim.sum(1)
+    assert np.allclose(left, plan.residual, atol=1e-9) and left.max() < mixing.TOLERANCE
+
+
+def test_fit_ends_at_the_tolerance_where_no_bound_is_met(spark):
+    plan = mixing.fit(docs(spark, none=0), targets(spark, [("m", "wet", 3.0, 2), ("m", "dry", 1.0, 50)]))
+    assert plan.residual[0] < mixing.TOLERANCE and plan.passes <= 8
+
+
+def test_training_rows_are_chosen_by_a_threshold(spark):
+    d = spark.range(20_000).selectExpr("id as doc_id", "concat('river ', id) as text", "if(id % 2 = 0, 'wet', 'dry') as source")
+    seen = []
+    fit, mixing.Classifier.fit = mixing.Classifier.fit, lambda self, texts, y: seen.append(len(texts)) or self
+    try:
+        mixing.train(d, ["dry", "wet"], 1_000)
+    finally:
+        mixing.Classifier.fit = fit
+    assert 850 < seen[0] < 1_150
