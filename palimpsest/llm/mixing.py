@@ -24,6 +24,8 @@ from .repetition import words
 
 #: Labelled documents that the classifier is fitted on (about so many, chosen by a threshold on their hash), and its hashed features.
 TRAINING_ROWS, FEATURES = 8_000, 1 << 13
+#: Rows of a dense block of the fit.
+BLOCK = 1_000
 #: Probability that a document is of the source that it is labelled with; the rest is shared out by the classifier.
 TRUST = 0.95
 #: Share of a mix that may remain between expected and target tokens; a pass must take this much off what remained.
@@ -66,23 +68,19 @@ class Classifier:
         if not texts or len(self.labels) < 2:
             return self
         f = [_features(t) for t in texts]
-        n = np.array([len(x) for x in f])
-        cols, rows = np.concatenate(f), np.repeat(np.arange(len(f)), n)
-        weight = (1 / np.sqrt(n)).astype(np.float32)[rows]
-        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-        order = np.argsort(cols, kind="stable")
-        heads = np.flatnonzero(np.concatenate([[True], np.diff(cols[order]) > 0]))
-        used = cols[order][heads]
+        blocks = [(range(i, min(i + BLOCK, len(f))), np.repeat(np.arange(min(BLOCK, len(f) - i)), [len(x) for x in f[i : i + BLOCK]]), np.concatenate(f[i : i + BLOCK])) for i in range(0, len(f), BLOCK)]
         self.b = np.log(np.bincount(y, minlength=len(self.labels)) + 1.0).astype(np.float32)
         square = np.full_like(self.w, 1e-6)
-        truth = np.zeros((len(f), len(self.labels)), np.float32)
-        truth[np.arange(len(f)), y] = 1
+        dense = np.zeros((min(BLOCK, len(f)), FEATURES), np.float32)
         for _ in range(epochs):
-            z = np.add.reduceat(self.w[cols] * weight[:, None], starts, axis=0) + self.b
-            g = (_softmax(z) - truth) / len(f)
-            gw = np.zeros_like(self.w)
-            gw[used] = np.add.reduceat((g[rows] * weight[:, None])[order], heads, axis=0)
-            gw += decay * self.w / len(f)
+            gw = decay * self.w / len(f)
+            for at, rows, cols in blocks:
+                dense[rows, cols] = 1 / np.sqrt(np.bincount(rows)[rows])
+                x = dense[: len(at)]
+                g = _softmax(x @ self.w + self.b)
+                g[np.arange(len(at)), y[at.start : at.stop]] -= 1
+                gw += x.T @ (g / np.float32(len(f)))
+                dense[rows, cols] = 0
             square += gw * gw
             self.w -= rate * 0.1 * gw / np.sqrt(square)
         return self
