@@ -14,6 +14,8 @@ from .parsing import deletions, edits_within, sound
 
 #: Weight of a slip in a typed word, for each edit: a variant must be this much rarer than what it is attributed to.
 SLIP = 0.3
+#: Letters from which on a word that begins alike is hardly another real word, so that it needs no support.
+PLAIN = 7
 
 
 #: Characters of a word up to which the JVM counts edits; its band costs the square of the length, so longer ones go to Python.
@@ -55,9 +57,12 @@ def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(d, pa.int32())], names=[*b.schema.names, "d"])
 
 
-def attribute_spellings(words: DataFrame) -> DataFrame:
+def attribute_spellings(words: DataFrame, support: DataFrame | None = None) -> DataFrame:
     """(scope, word, canonical) for (scope, word, n): every word with the spelling it is attributed to.
 
+    A short word, or one that begins otherwise, may be a word of its own however rare: it is attributed only with
+    support, a row (scope, word, key) whose key the better spelling has too.
+
     Noisy channel: in each block of words of a scope that share a deletion key the most frequent spelling is the
     candidate; over its blocks a word takes the candidate c with the greatest n(c) * SLIP ** edits, if that exceeds
     its own n, else itself. Candidates are more frequent than their variants, so attribution ends after a few steps.
@@ -68,6 +73,12 @@ def attribute_spellings(words: DataFrame) -> DataFrame:
     candidates = keyed.join(top, ["scope", "key"]).filter((F.col("m") > F.col("n")) & (F.col("m") * SLIP > F.col("n"))).select("scope", "word", "n", "better", "m").distinct()
     scored = candidates.mapInArrow(_distances, "scope string, word string, n bigint, better string, m bigint, d int")
     scored = scored.withColumn("p", F.col("m") * F.pow(F.lit(SLIP), F.col("d"))).filter((F.col("d") <= 2) & (F.col("p") > F.col("n")))
+    plain = (F.length("word") >= PLAIN) & (F.left("word", F.lit(1)) == F.left("better", F.lit(1)))
+    if support is not None:
+        scored = checkpoint(scored)
+        other = support.select("scope", F.col("word").alias("better"), "key")
+        shared = scored.filter(~plain).join(support, ["scope", "word"]).join(other, ["scope", "better", "key"], "left_semi").select(*scored.columns).distinct()
+        scored = scored.filter(plain).unionByName(shared)
     best = scored.groupBy("scope", "word").agg(F.max_by("better", F.struct("p", "better")).alias("canonical"))
     out = w.select("scope", "word").join(best, ["scope", "word"], "left").withColumn("canonical", F.coalesce("canonical", "word"))
     second = out.select("scope", F.col("word").alias("canonical"), F.col("canonical").alias("further"))

@@ -19,8 +19,8 @@ SUFFIXES = {
 }
 DIRECTIONS = {"n": "n", "north": "n", "s": "s", "south": "s", "e": "e", "east": "e", "w": "w", "west": "w", "ne": "ne", "nw": "nw", "se": "se", "sw": "sw"}
 ORDINALS = {w: str(i) for i, w in enumerate("first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth twentieth".split(), 1)}
-#: Regions and countries of the data at hand; a parameter of :func:`address`.
-REGIONS = frozenset({"mw", "merrow", "us", "usa"})
+#: Countries; the regions of a corpus are learnt from it, see :func:`addresses.learnt_regions`.
+REGIONS = frozenset({"us", "usa"})
 
 _REMARK = re.compile(r"\([^)]*\)?|\b(?:near|between|btwn|corner of|cor of|opposite|across from)\b[^,;]*")
 _UNIT = re.compile(
@@ -113,20 +113,20 @@ def edits(a: str, b: str) -> int:
 def _ordinal(t: str) -> str | None:
     if t in ORDINALS:
         return ORDINALS[t]
-    m = re.fullmatch(r"0*(\d{1,3})(?:st|nd|rd|th)?", t)
+    m = re.fullmatch(r"0*(\d+)(?:st|nd|rd|th)?", t)
     return m.group(1) if m else None
 
 
 def house_number(t: str) -> tuple[str, str] | None:
     """(number, other reading) of a token: 12-34 is 1234 where numbers are written so, 46-48 is the door 46 of a range."""
-    m = re.fullmatch(r"0*(\d{1,4})([a-z]?)", t)
+    m = re.fullmatch(r"0*(\d+)([a-z]?)", t)
     if m:
         return m.group(1), ""
-    m = re.fullmatch(r"0*(\d{1,4})-0*(\d{1,4})", t)
+    m = re.fullmatch(r"0*(\d+)-0*(\d+)", t)
     if not m:
         return None
     a, b = m.groups()
-    if 0 < int(b) - int(a) <= 4 and len(a) == len(b):
+    if len(a) == len(b) and 0 < int(b[-9:]) - int(a[-9:]) <= 4 and a[:-9] == b[:-9]:
         return a, a + b.zfill(2)
     return a + t.split("-")[1], ""
 
@@ -145,9 +145,10 @@ def address(text: str, regions: frozenset[str] = REGIONS) -> dict[str, str]:
     out = dict.fromkeys(("number", "other", "dir", "street", "suffix", "town", "zip"), "")
     parts: list[list[str]] = []
     for raw in re.split(r"[,;:/|\n]+", s):
-        t = []
-        for x in _TOKEN.findall(raw):
-            if re.fullmatch(r"\d{5}", x):
+        t, found = [], _TOKEN.findall(raw)
+        for i, x in enumerate(found):
+            # five digits are a zip code, but not where a street follows them
+            if re.fullmatch(r"\d{5}", x) and not (i == 0 and any(y in SUFFIXES for y in found[2:])):
                 out["zip"] = x
             elif x not in regions:
                 t.append(x)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from palimpsest.llm import names as names_
-from palimpsest.llm.addresses import same_address_pairs, same_door
+from palimpsest.llm.addresses import learnt_regions, same_address_pairs, same_door, texts
 from palimpsest.llm.linking import attribute_spellings, components, pairs, with_edits
 from palimpsest.llm.names import same_restaurant_pairs
 from palimpsest.llm.parsing import Vocabulary, address, deletions, edits, edits_within, house_number, name, phone, sound, website
@@ -16,7 +16,10 @@ PLACES = "place_id string, place string, address string, lat double, lng double,
 def test_address_components():
     want = {"number": "85", "other": "", "dir": "", "street": "nestolor", "suffix": "blvd", "town": "ninoford", "zip": "20008"}
     for t in ("85 Nestolor Boulevard, Ninoford, MW 20008", "85 nestolor bvd ninoford mw 20008", "Ninoford 20008, 85 Nestolor Blvd. (at Gump St), MW", "Nestolor Blvd, 85; Ste 3; Ninoford; 20008", "#4, 85 NESTOLOR BLVD., NINOFORD, MERROW 20008, US"):
-        assert address(t) == want
+        assert address(t, frozenset({"mw", "merrow", "us"})) == want
+    got = address("10250 Santa Monica Blvd, Losville 90210")
+    assert (got["number"], got["street"], got["suffix"], got["town"], got["zip"]) == ("10250", "santamonica", "blvd", "losville", "90210")
+    assert address("20008 Losville, 12 1012th St")["zip"] == "20008" and address("20008 Losville, 12 1012th St")["street"] == "1012"
     got = address("73-48 E. Ninth St, Fl 2 - Krusoport")
     assert (got["number"], got["dir"], got["street"], got["suffix"], got["town"]) == ("7348", "e", "9", "st", "krusoport")
     assert address("2459 79th St West, Sorsanstead")["dir"] == "w"
@@ -105,6 +108,21 @@ def test_doors(spark):
     assert found(spark, []) == found(spark, [None, ""]) == set()
 
 
+def test_a_rare_town_near_a_frequent_one_is_a_town(spark):
+    fill = [f"{n} Main St, Dover" for n in range(100, 139)]
+    got = found(spark, [*fill, "5 Main St, Dover", "5 Main Street, Dover", "5 Main St, Hover", "5 Main St, Rover"])
+    assert got == {("5 Main St, Dover", "5 Main Street, Dover")}
+    zips = [f"{n} Main St, Dover 10001" for n in range(100, 139)]
+    assert found(spark, [*zips, "5 Main St, Dover", "5 Main St, Diver 10001"]) == {("5 Main St, Diver 10001", "5 Main St, Dover")}
+
+
+def test_regions_are_learnt(spark):
+    rows = [("1 A St, Austin TX",), ("2 A St, Austin",), ("3 B St, Dallas, TX, USA",), ("4 B St, Dallas",), ("5 C St, Salt Lake City",), ("6 C St, Kansas City",), ("6 C St, Dallas",)]
+    d = spark.createDataFrame(rows, "address string")
+    assert learnt_regions(texts(d)) == {"tx"}
+    assert ("1 A St, Austin TX", "1 A Street, Austin") in found(spark, [r[0] for r in rows] + ["1 A Street, Austin"])
+
+
 def test_very_long_names_and_addresses(spark):
     long = "Zu" * 40_000
     got = restaurants(spark, [("a", long + " Diner", None, None, None, None, None), ("b", "The " + long + "x Diner", None, None, None, None, None), ("c", "q " * 5_000, None, None, "9" * 9_000, None, None)])
