@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
+
+from . import markup
 
+#: Words of a link that promises opening hours, files that are no pages, and paths where hours often are.
+PROMISING, NO_PAGES, USUAL_PATHS = ("hour", "location", "visit", "contact", "find us"), (".pdf", ".jpg", ".jpeg", ".png", ".webp"), ("/hours", "/contact")
 #: Hosts whose pages hold no opening hours.
 SOCIAL = r"(?i)instagram\.com|facebook\.com|twitter\.com|linktr\.ee|tiktok\.com"
 
@@ -47,9 +55,46 @@ def first_answer(*answers: Column) -> Column:
 
 def hours_pages(page: Column, base: Column, most: int = 3) -> Column:
     """Links of a page that promise opening hours, in page order, each once, at most ``most``: a top-k by position."""
-    pattern = F.lit(r'(?is)<a[^>]+href="([^"#?]+)"[^>]*>(.*?)</a>')
-    links = F.arrays_zip(F.regexp_extract_all(page, pattern, F.lit(1)).alias("href"), F.regexp_extract_all(page, pattern, F.lit(2)).alias("label"))
-    root = F.regexp_replace(base, "/+$", "")
-    promising = F.filter(links, lambda x: F.concat(F.regexp_replace(x["label"], "<[^>]+>", " "), F.lit(" "), x["href"]).rlike("(?i)hour|location|visit|contact|find us") & ~x["href"].rlike(r"(?i)\.(pdf|jpe?g|png|webp)$") & x["href"].rlike("^(http|/)"))
-    full = F.transform(promising, lambda x: F.regexp_replace(F.when(x["href"].startswith("/"), F.concat(root, x["href"])).otherwise(x["href"]), "/+$", ""))
-    return F.slice(F.array_distinct(F.filter(full, lambda u: u != root)), 1, most)
+
+    @F.pandas_udf(ArrayType(StringType()))
+    def found(pages, bases):  # noqa: ANN001, ANN202 - pandas Series of strings
+        return pd.Series([_promising(p, b or "", most) for p, b in zip(pages, bases)])
+
+    return found(page, base)
+
+
+def _promising(page: str | None, base: str, most: int) -> list[str]:
+    root, out = base.rstrip("/"), {}
+    for e, inner in markup.elements(markup.read(page), lambda e: e.tag == "a"):
+        to = e.attributes.get("href", "")
+        if not to.startswith(("http", "/")) or "#" in to or "?" in to or to.lower().endswith(NO_PAGES):
+            continue
+        if any(w in f"{markup.said(inner)} {to}".lower() for w in PROMISING):
+            out[(root + to if to.startswith("/") else to).rstrip("/")] = None
+    return [u for u in out if u != root][:most]
+
+
+def site_pages(home: Column, page: Column) -> Column:
+    """The pages of a restaurant's site in the order in which they are asked for opening hours, none for a blank or social site.
+
+    Home first, then the links of the home page that promise hours, then the usual paths.
+    """
+    root = F.regexp_replace(F.trim(home), "/+$", "")
+    usual = F.array(*[F.concat(root, F.lit(p)) for p in USUAL_PATHS])
+    return F.when(has_own_site(home), F.array_distinct(F.concat(F.array(root), F.coalesce(hours_pages(page, home), F.array().cast("array<string>")), usual))).otherwise(F.array().cast("array<string>"))
+
+
+def decoded(body: bytes, encoding: str | None) -> bytes:
+    """The content of an answer: unpacked by its content encoding, gzip or deflate with or without a header.
+
+    Other and missing encodings leave it as it is; a broken one raises zlib.error.
+    """
+    kind = (encoding or "").strip().lower()
+    if kind == "gzip":
+        return zlib.decompress(body, 16 + zlib.MAX_WBITS)
+    if kind == "deflate":
+        try:
+            return zlib.decompress(body)
+        except zlib.error:
+            return zlib.decompress(body, -zlib.MAX_WBITS)
+    return body
