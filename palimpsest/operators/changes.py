@@ -64,8 +64,10 @@ def change_log(observations: DataFrame, lists: DataFrame) -> DataFrame:
     m = lambda n: lists.select("list", F.col("content").alias(n), F.col("members").alias(f"{n}_m"))
     both = pairs.join(m("old"), ["list", "old"]).join(m("new"), ["list", "new"])
     keys = lambda c: F.transform(c, lambda x: x["key"])
-    only = lambda a, b: F.filter(F.col(a), lambda x: ~F.array_contains(keys(F.col(b)), x["key"]))
-    both = both.select("list", "old", "new", only("new_m", "old_m").alias("added"), only("old_m", "new_m").alias("removed")).filter((F.size("added") > 0) | (F.size("removed") > 0))
+    both = both.withColumn("gone", F.array_except(keys("old_m"), keys("new_m"))).withColumn("come", F.array_except(keys("new_m"), keys("old_m")))
+    # keys by hash; only those few that differ are looked up in the list for its order and names
+    only = lambda a, b: F.filter(F.col(a), lambda x: F.array_contains(F.col(b), x["key"]))
+    both = both.select("list", "old", "new", only("new_m", "come").alias("added"), only("old_m", "gone").alias("removed")).filter((F.size("added") > 0) | (F.size("removed") > 0))
     return steps.join(both, ["list", "old", "new"]).select("list", "after_ts", "by_ts", "added", "removed")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,8 +29,33 @@ def to_fetch(captures: DataFrame, contents: DataFrame, least_version: int) -> Da
     return d.filter(F.col("version").isNull() | (F.col("version") < least_version)).select("url", "digest", "ts", F.when(F.col("version").isNull(), "fetch").otherwise("parse").alias("why"))
 
 
+def is_page(status: Column, mimetype: Column) -> Column:
+    """Whether a capture is a page: answered with 200, and HTML."""
+    return (status == "200") & F.lower(mimetype).startswith("text/html")
+
+
+def rekeyed(contents: DataFrame, captures: DataFrame) -> DataFrame:
+    """(url, digest, effective_ts, effective_digest, moved): the digest of the moment that the archive really served.
+
+    A content belongs under that digest; ``moved`` says whether it is another than was asked for. Contents whose
+    effective moment the captures (url, ts, digest) do not know are left out.
+    """
+    served = captures.select("url", F.col("ts").alias("effective_ts"), F.col("digest").alias("effective_digest"))
+    return contents.select("url", "digest", "effective_ts").join(served, ["url", "effective_ts"]).select("url", "digest", "effective_ts", "effective_digest", (F.col("digest") != F.col("effective_digest")).alias("moved"))
+
+
+def decoded_hours(stored: DataFrame) -> DataFrame:
+    """Stored opening hours (..., hours as JSON) with ``spans``, an array of (day, opens, closes); empty where it is broken."""
+    spans = F.from_json("hours", "array<struct<day:string,opens:string,closes:string>>")
+    return stored.withColumn("spans", F.coalesce(spans, F.expr("cast(array() as array<struct<day:string,opens:string,closes:string>>)"))).drop("hours")
+
+
 def since_anchor(captures: DataFrame, checked: DataFrame) -> DataFrame:
-    """Captures (url, ts) from the last checked moment (url, last_ts) on; all of a url whose moment is not indexed."""
+    """Captures (url, ts) from the last checked moment (url, last_ts) on; all of a url whose moment is not indexed.
+
+    Where ``checked`` has a column ``complete``, the moment of a run that was not complete is no anchor.
+    """
+    checked = checked.filter("complete").drop("complete") if "complete" in checked.columns else checked
     known = checked.join(captures.select("url", F.col("ts").alias("last_ts")), ["url", "last_ts"], "left_semi")
     return captures.join(known, "url", "left").filter(F.col("last_ts").isNull() | (F.col("ts") >= F.col("last_ts"))).drop("last_ts")
 

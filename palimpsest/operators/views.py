@@ -69,3 +69,28 @@ def site_checks(places: DataFrame, entries: DataFrame, closed: DataFrame) -> Dat
     leak = p.select("id").distinct().join(closed.select("id"), "id", "left_semi")
     c = lambda n, d: check(n, d, F.col("id"))
     return all_checks(c("repeated id", twice), c("missing field", bare), c("position out of bounds", off), c("unknown id", lost), c("closed but published", leak))
+
+
+def count_checks(places: DataFrame, features: DataFrame) -> DataFrame:
+    """(check, key, stated, counted): where a place's stretches are not its periods, and the map's features against the positions.
+
+    places: (id, stretches, periods, lat, lng). The row of the features is always there; the counts agree if all is well.
+    """
+    n = F.size(F.filter(F.split(F.coalesce("periods", F.lit("")), ";"), lambda x: F.trim(x) != "")).cast("bigint")
+    stated = F.col("stretches").cast("bigint")
+    wrong = places.filter(~stated.eqNullSafe(n)).select(F.lit("stretches").alias("check"), F.col("id").alias("key"), stated.alias("stated"), n.alias("counted"))
+    mapped = places.agg(F.count_if(F.col("lat").isNotNull() & F.col("lng").isNotNull()).alias("stated"))
+    drawn = mapped.join(features.agg(F.count(F.lit(1)).alias("counted")))  # two single rows
+    return wrong.unionByName(drawn.select(F.lit("features").alias("check"), F.lit("map").alias("key"), "stated", "counted"))
+
+
+def meals_or_text(places: DataFrame, hours: DataFrame, texts: DataFrame) -> DataFrame:
+    """(place_id, by, meals): meals of each place by its opening hours (place_id, spans), else by its text (place_id, text).
+
+    ``by`` says which of the two it was, or none. Hours and texts have a row a place.
+    """
+    from ..functions.hours import meals_named, meals_of
+
+    d = places.join(hours, "place_id", "left").join(texts, "place_id", "left")
+    by = F.when(F.col("spans").isNotNull(), "hours").when(F.col("text").isNotNull(), "text").otherwise("none")
+    return d.select("place_id", by.alias("by"), F.when(F.col("spans").isNotNull(), meals_of(F.col("spans"))).otherwise(meals_named(F.col("text"))).alias("meals"))

@@ -6,6 +6,8 @@ eater38_places hold published entries. Every result is a bag of scalar columns.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,44 +17,55 @@ from ..operators import changes as ch
 from ..operators import extract, identity, merge, presence, state, views
 from ..operators.captures import digest_value, moment14, moments
 from ..operators.observations import first_of, latest_contents, listed, observed
+from ..session import checkpoint
 from ..sources import sinks
 from ..sources.tables import table
 
 FIELDS = ["address", "phone", "website", "source_anchor", "lat", "lng", "price", "tip"]
 
 
-def _obs(spark: SparkSession, d: str) -> DataFrame:
-    return observed(table(spark, d, "captures"), table(spark, d, "contents"))
+class Archive(NamedTuple):
+    """What most queries share, read once: observations (url, ts, digest), and the first item of every key of a content."""
+
+    obs: DataFrame
+    firsts: DataFrame
 
 
-def _firsts(spark: SparkSession, d: str) -> DataFrame:
-    return first_of(listed(table(spark, d, "contents")), "key")
+def _archive(spark: SparkSession, d: str, item: bool = False) -> Archive:
+    """Payloads are parsed once and written compactly, with the whole ``item`` only if it is asked for."""
+    rows = checkpoint(listed(table(spark, d, "contents")).select("url", "digest", "pos", "raw_key", "key", "name", *(["item"] if item else [])))
+    obs = checkpoint(moments(table(spark, d, "captures")).join(rows.select("url", "digest").distinct(), ["url", "digest"]).select("url", "ts", "digest"))
+    return Archive(obs, first_of(rows, "key"))
 
 
-def _members(spark: SparkSession, d: str) -> DataFrame:
-    return _obs(spark, d).join(_firsts(spark, d), ["url", "digest"])
+def _members(a: Archive) -> DataFrame:
+    return a.obs.join(a.firsts, ["url", "digest"])
 
 
-def _lists(spark: SparkSession, d: str) -> DataFrame:
+def _lists(a: Archive) -> DataFrame:
     """(list, content, members): each content's members in order."""
-    f = _firsts(spark, d).groupBy("url", "digest").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "name"))).alias("m"))
+    f = a.firsts.groupBy("url", "digest").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "name"))).alias("m"))
     return f.select(F.col("url").alias("list"), F.col("digest").alias("content"), F.transform("m", lambda x: F.struct(x["key"].alias("key"), x["name"].alias("name"))).alias("members"))
 
 
-def _signed(spark: SparkSession, d: str) -> DataFrame:
+def _signed(a: Archive) -> DataFrame:
     """(list, ts, sig): observations with the signature of their members."""
-    sig = _firsts(spark, d).groupBy("url", "digest").agg(ch.signature(F.collect_list("key")).alias("sig"))
-    return _obs(spark, d).join(sig, ["url", "digest"]).select(F.col("url").alias("list"), "ts", "sig")
+    sig = a.firsts.groupBy("url", "digest").agg(ch.signature(F.collect_list("key")).alias("sig"))
+    return a.obs.join(sig, ["url", "digest"]).select(F.col("url").alias("list"), "ts", "sig")
+
 
+def _changes(a: Archive) -> DataFrame:
+    return ch.change_log(a.obs.select(F.col("url").alias("list"), "ts", F.col("digest").alias("content")), _lists(a))
 
-def _changes(spark: SparkSession, d: str) -> DataFrame:
-    o = _obs(spark, d).select(F.col("url").alias("list"), "ts", F.col("digest").alias("content"))
-    return ch.change_log(o, _lists(spark, d))
 
+def _runs(a: Archive) -> DataFrame:
+    m = _members(a).select(F.col("url").alias("list"), "ts", F.col("key").alias("member"))
+    return presence.presence_runs(m, a.obs.select(F.col("url").alias("list"), "ts"))
 
-def _runs(spark: SparkSession, d: str) -> DataFrame:
-    m = _members(spark, d).select(F.col("url").alias("list"), "ts", F.col("key").alias("member"))
-    return presence.presence_runs(m, _obs(spark, d).select(F.col("url").alias("list"), "ts"))
+
+def _merged(a: Archive) -> DataFrame:
+    m = _members(a).select("url", "key", "ts", *[F.col(f"item.{f}").alias(f) for f in FIELDS])
+    return merge.latest_nonempty(m, ["url", "key"], "ts", FIELDS)
 
 
 def _closed_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -72,46 +85,47 @@ def capture_moments(spark, d):
 
 def observations(spark, d):
     """A1: members of every observation, the first of a key, in order."""
-    return _members(spark, d).select("url", "ts", "pos", "key", "name")
+    return _members(_archive(spark, d)).select("url", "ts", "pos", "key", "name")
 
 
 def presence_periods(spark, d):
     """A2, A3: runs of each member with brackets."""
-    return _runs(spark, d)
+    return _runs(_archive(spark, d))
 
 
 def aliased_periods(spark, d):
     """Runs on keys led through an alias map (here: keys that begin with an article)."""
     keys = listed(table(spark, d, "contents")).select("raw_key").distinct().filter(F.col("raw_key").rlike("^(the|la|le|il|el) .")).select(F.col("raw_key").alias("alias"), F.regexp_replace("raw_key", "^(the|la|le|il|el) ", "").alias("target"))
     rows = first_of(listed(table(spark, d, "contents"), identity.closed_aliases(keys)), "key")
-    o = _obs(spark, d)
+    o = observed(table(spark, d, "captures"), table(spark, d, "contents"))
     m = o.join(rows, ["url", "digest"]).select(F.col("url").alias("list"), "ts", F.col("key").alias("member"))
     return presence.presence_runs(m, o.select(F.col("url").alias("list"), "ts")).select("list", "member", "from_ts", "to_ts", "still_on")
 
 
 def history_rows(spark, d):
     """K7: runs as rows of a spreadsheet."""
-    named = _members(spark, d).groupBy(F.col("url").alias("list"), F.col("key").alias("member")).agg(F.max_by("name", F.struct("ts", "name")).alias("name"))
-    return sinks.history_table(_runs(spark, d).join(named, ["list", "member"]))
+    a = _archive(spark, d)
+    named = _members(a).groupBy(F.col("url").alias("list"), F.col("key").alias("member")).agg(F.max_by("name", F.struct("ts", "name")).alias("name"))
+    return sinks.history_table(_runs(a).join(named, ["list", "member"]))
 
 
 def change_log(spark, d):
     """Members that came and went, with the captures in between that were not looked at."""
     index = moments(table(spark, d, "captures")).select(F.col("url").alias("list"), "ts")
-    return ch.unsampled(_changes(spark, d), index).select("list", "after_ts", "by_ts", _joined("added"), _joined("removed"), "unsampled")
+    return ch.unsampled(_changes(_archive(spark, d)), index).select("list", "after_ts", "by_ts", _joined("added"), _joined("removed"), "unsampled")
 
 
 def change_log_open(spark, d):
     """A10: the change log without closed places."""
     ids = lambda c: F.transform(c, lambda x: text.slug_of_key(x["key"]))
-    c = _changes(spark, d).withColumns({"added_ids": ids("added"), "removed_ids": ids("removed")})
+    c = _changes(_archive(spark, d)).withColumns({"added_ids": ids("added"), "removed_ids": ids("removed")})
     out = ch.without_closed(c, _closed_keys(spark, d))
     return out.select("list", "after_ts", "by_ts", _joined("added"), _joined("removed"), F.array_join("added_ids", "; ").alias("added_ids"), F.array_join("removed_ids", "; ").alias("removed_ids"))
 
 
 def transitions(spark, d):
     """Added and removed keys in order of the key, one row each."""
-    c = _changes(spark, d)
+    c = _changes(_archive(spark, d))
     rows = lambda k: c.select("list", "by_ts", F.lit(k).alias("kind"), F.explode(F.array_sort(F.transform(k, lambda x: x["key"]))).alias("key"))
     return rows("added").unionByName(rows("removed"))
 
@@ -124,22 +138,22 @@ def alias_suggestions(spark, d):
 
 def change_points(spark, d):
     """Every change between consecutive observations."""
-    return ch.change_points(_signed(spark, d))
+    return ch.change_points(_signed(_archive(spark, d)))
 
 
 def bisected_changes(spark, d):
     """The changes that bisection finds."""
-    return ch.bisected_changes(_signed(spark, d))[0]
+    return ch.bisected_changes(_signed(_archive(spark, d)))[0]
 
 
 def bisect_probes(spark, d):
     """How many observations of each list bisection looks at."""
-    return ch.bisected_changes(_signed(spark, d))[1].groupBy("list").agg(F.count(F.lit(1)).alias("probes"))
+    return ch.bisected_changes(_signed(_archive(spark, d)))[1].groupBy("list").agg(F.count(F.lit(1)).alias("probes"))
 
 
 def list_versions(spark, d):
     """Neighbouring observations with the same members as one version."""
-    return ch.collapsed_versions(_signed(spark, d))
+    return ch.collapsed_versions(_signed(_archive(spark, d)))
 
 
 def long_gaps(spark, d):
@@ -150,13 +164,12 @@ def long_gaps(spark, d):
 
 def merged_attributes(spark, d):
     """The latest non-empty value of every field of a member."""
-    m = _members(spark, d).select("url", "key", "ts", *[F.col(f"item.{f}").alias(f) for f in FIELDS])
-    return merge.latest_nonempty(m, ["url", "key"], "ts", FIELDS)
+    return _merged(_archive(spark, d, item=True))
 
 
 def member_names(spark, d):
     """Latest name and all names of a member."""
-    return merge.names_of(_members(spark, d), ["url", "key"], "ts", "name").select("url", "key", "name", F.array_join("names_seen", "; ").alias("names_seen"))
+    return merge.names_of(_members(_archive(spark, d)), ["url", "key"], "ts", "name").select("url", "key", "name", F.array_join("names_seen", "; ").alias("names_seen"))
 
 
 def own_sites(spark, d):
@@ -322,10 +335,11 @@ def site_checks(spark, d):
 
 def summary_counts(spark, d):
     """Counts of a summary."""
-    runs = _runs(spark, d)
+    a = _archive(spark, d, item=True)
+    runs = checkpoint(_runs(a))
     now = runs.groupBy("list", "member").agg(F.bool_or("still_on").alias("on_list_now"))
-    at = merged_attributes(spark, d).select(F.col("url").alias("list"), F.col("key").alias("member"), "lat", "lng")
-    return sinks.counts(now.join(at, ["list", "member"]), runs, change_points(spark, d))
+    at = _merged(a).select(F.col("url").alias("list"), F.col("key").alias("member"), "lat", "lng")
+    return sinks.counts(checkpoint(now.join(at, ["list", "member"])), runs, ch.change_points(_signed(a)))
 
 
 def series_split(spark, d):
@@ -363,10 +377,11 @@ def map_features(spark, d):
 
 def place_rows(spark, d):
     """K1, K6: places of the archive's lists for a spreadsheet."""
-    r = _runs(spark, d)
+    a = _archive(spark, d, item=True)
+    r = _runs(a)
     own = ["list", "member"]
     per = r.groupBy(*own).agg(F.array_sort(F.collect_list(F.struct(text.day_text(F.col("from_ts")).alias("from_date"), text.day_text(F.col("to_ts")).alias("to_date")))).alias("periods"), F.bool_or("still_on").alias("on_list_now"))
-    at = merged_attributes(spark, d).select(F.col("url").alias("list"), F.col("key").alias("member"), "address", "lat", "lng")
+    at = _merged(a).select(F.col("url").alias("list"), F.col("key").alias("member"), "address", "lat", "lng")
     return sinks.places_table(per.join(at, own).withColumn("name", F.col("member"))).drop("lat", "lng")
 
 

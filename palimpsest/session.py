@@ -27,11 +27,14 @@ def local_session(cores: int = 8, name: str = "palimpsest", **conf: str) -> Spar
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the session names in spark.checkpoint.dir; set one only where it is unset (tests)."""
+    """Use the folder that the session names in spark.checkpoint.dir; a temporary one only on one machine, as in tests."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="palimpsest-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="palimpsest-"))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

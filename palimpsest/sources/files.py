@@ -6,8 +6,11 @@ import gzip
 import json
 import os
 import tomllib
+from collections.abc import Callable
 
 import pandas as pd
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -39,6 +42,19 @@ def index_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def index_or_stored(read: Callable[[], DataFrame], stored: DataFrame) -> tuple[DataFrame, bool]:
+    """(index, complete): a fresh index, or the stored one where reading fails, and then the run is not complete.
+
+    The fresh index is looked into, as a source that is away often fails only when rows are asked for.
+    """
+    try:
+        fresh = read()
+        fresh.isEmpty()
+    except (PySparkException, Py4JError, OSError):
+        return stored, False
+    return fresh, True
+
+
 def imported_payloads(spark: SparkSession, path: str, captures: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Payloads of JSON lines (ts, items) attributed to the url of their moment, and the rows that have none.
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +15,8 @@ def site_json(df: DataFrame, path: str, order: list[Column] | None = None) -> No
 
 
 def by_name(df: DataFrame) -> list[Column]:
-    return [F.lower("name"), F.col("id")]
+    """Names as a reader looks for them, whatever their case and accents; the id decides between equal ones."""
+    return [F.collate("name", "UNICODE_CI"), F.col("id")]
 
 
 def features(places: DataFrame) -> DataFrame:
@@ -62,6 +67,41 @@ def markdown(runs: DataFrame) -> DataFrame:
     return t.select(F.concat(F.lit("| "), F.concat_ws(" | ", "place", "on_list_from", "on_list_through", start, "removed_between"), F.lit(" |")).alias("line"))
 
 
+def status_lines(statistics: DataFrame) -> DataFrame:
+    """(line): a line of text for each row of :func:`state.capture_statistics`."""
+    from ..functions.text import day_text
+
+    part = lambda c, word: F.concat(F.col(c).cast("string"), F.lit(f" {word}"))
+    period = F.concat(F.lit(" from "), day_text(F.col("first_ts")), F.lit(" to "), day_text(F.col("last_ts")))
+    return statistics.select(F.concat("url", F.lit(": "), part("n", "captures"), period, F.lit(", "), part("digests", "contents"), F.lit(", "), part("missing", "missing")).alias("line"))
+
+
+def updates_json(changes: DataFrame, path: str) -> None:
+    """Changes (list, after_ts, by_ts, added, removed), the latest first, as JSON."""
+    site_json(changes.select("list", "after_ts", "by_ts", "added", "removed"), path, [F.col("by_ts").desc(), F.col("list")])
+
+
+def raw_pages(pages: DataFrame, folder: str) -> None:
+    """Write pages (url, digest, body) gzipped as folder/bucket/digest.html.gz in a folder that all executors share.
+
+    A file is written under another name and then renamed, so a task that is lost or run twice leaves no half of a page.
+    Rows with a null are left out.
+    """
+
+    def write(rows) -> None:  # noqa: ANN001 - rows of a partition
+        for r in rows:
+            into = os.path.join(folder, r.bucket)
+            os.makedirs(into, exist_ok=True)
+            temporary = os.path.join(into, f".{r.digest}.{uuid.uuid4().hex}")
+            with open(temporary, "wb") as f:
+                f.write(gzip.compress(r.body.encode("utf-8", "surrogatepass"), mtime=0))
+            os.replace(temporary, os.path.join(into, f"{r.digest}.html.gz"))
+
+    from ..functions.text import url_bucket
+
+    pages.select(url_bucket(F.col("url")).alias("bucket"), "digest", "body").dropna().foreachPartition(write)
+
+
 def counts(places: DataFrame, runs: DataFrame, changes: DataFrame) -> DataFrame:
     """(metric, n): what a site's summary says of its places, stretches and changes."""
     one = lambda df, name, what: df.agg(what.cast("bigint").alias("n")).select(F.lit(name).alias("metric"), "n")
