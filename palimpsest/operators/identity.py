@@ -10,18 +10,19 @@ from ..session import checkpoint
 ALIASES = "alias string, target string"
 
 
-def closed_aliases(aliases: DataFrame, rounds: int = 64) -> DataFrame:
+def closed_aliases(aliases: DataFrame) -> DataFrame:
     """(alias, target) with every chain followed to its end, for a map (alias, target) with one row per alias.
 
     A chain is followed while its key is an alias that was not followed before, so it may end on a key it has seen:
     in a cycle every key leads to itself, and a tail into a cycle leads to the key at which it enters. One join a
-    round over the aliases that still move; nothing is collected. Null aliases are left out.
+    round over the aliases that still move, for as many rounds as the longest chain; nothing is collected. Null
+    aliases are left out.
     """
     step = aliases.filter("alias is not null and target is not null").dropDuplicates(["alias"])
     hop = step.select(F.col("alias").alias("key"), F.col("target").alias("next"))
     moving = step.select("alias", F.col("target").alias("key"), F.array("alias").alias("seen"))
     done = None
-    for _ in range(rounds):
+    while True:
         joined = checkpoint(moving.join(hop, "key", "left"))
         stop = F.col("next").isNull() | F.array_contains("seen", F.col("key"))
         ended = joined.filter(stop).select("alias", F.col("key").alias("target"))
@@ -29,7 +30,6 @@ def closed_aliases(aliases: DataFrame, rounds: int = 64) -> DataFrame:
         moving = joined.filter(~stop).select("alias", F.col("next").alias("key"), F.array_append("seen", F.col("key")).alias("seen"))
         if moving.isEmpty():
             return done
-    raise RuntimeError("an alias chain is longer than the rounds allowed")
 
 
 def alias_frame(spark: SparkSession, mapping: dict[str, str]) -> DataFrame:
