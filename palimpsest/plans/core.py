@@ -59,8 +59,8 @@ def _changes(a: Archive) -> DataFrame:
 
 
 def _runs(a: Archive) -> DataFrame:
-    m = _members(a).select(F.col("url").alias("list"), "ts", F.col("key").alias("member"))
-    return presence.presence_runs(m, a.obs.select(F.col("url").alias("list"), "ts"))
+    m = a.firsts.select(F.col("url").alias("list"), F.col("digest").alias("content"), F.col("key").alias("member"))
+    return presence.presence_runs_of_contents(a.obs.select(F.col("url").alias("list"), "ts", F.col("digest").alias("content")), m)
 
 
 def _merged(a: Archive) -> DataFrame:

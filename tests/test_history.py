@@ -117,3 +117,25 @@ def test_changes_between_snapshots(spark):
         ("u", day(1), "y", "removed"), ("u", day(1), "z", "added"), ("u", day(2), "y", "added"), ("u", day(2), "z", "removed"), ("u", day(4), "x", "changed")
     ])
     assert changes(spark, caps, []) == changes(spark, [], cons) == []
+
+
+def test_runs_of_contents_equal_runs_of_observations(spark):
+    from palimpsest.operators import presence
+
+    rng = random.Random(7)
+    contents = {c: rng.sample("abcde", rng.randrange(1, 4)) for c in "PQRS"}
+    obs, at = [], {"l": 0, "m": 0}
+    for i in range(400):
+        li = "lm"[rng.random() < 0.2]
+        at[li] = at[li] if rng.random() < 0.7 else rng.randrange(4)
+        obs.append((li, f"20{10 + i // 100}{1 + i // 30 % 12:02d}{1 + i % 28:02d}{i:06d}", "PQRS"[at[li]]))
+    o = spark.createDataFrame(obs, "list string, ts string, content string")
+    c = spark.createDataFrame([(li, k, m) for li in "lm" for k, ms in contents.items() for m in [*ms, ms[0]]] + [("l", "P", None)], "list string, content string, member string")
+    block, presence.BLOCK = presence.BLOCK, 8
+    try:
+        got = sorted(map(tuple, presence.presence_runs_of_contents(o, c).collect()), key=str)
+        want = sorted(map(tuple, presence.presence_runs(o.join(c, ["list", "content"]), o).collect()), key=str)
+    finally:
+        presence.BLOCK = block
+    assert got == want and len(got) > 50
+    assert presence.presence_runs_of_contents(o.limit(0), c).collect() == []
