@@ -23,7 +23,7 @@ from .parsing import Vocabulary, address, edits_within, name, name_evidence, pho
 
 #: Share of all spellings that a word must be in to be common; words a name can have in common are at most 1 / COMMON a word.
 COMMON, BESIDE = 0.002, 4
-#: Names with which a core word may stand before it tells no restaurant from another by itself.
+#: Names of one core up to which pairs that meet by name alone teach the fit; those of more would outweigh all others. All are scored.
 COMPANY = 20
 #: Edits up to which names are compared; edits by which a website's word may differ from the name it corrects.
 MOST, WEB_EDITS = 6, 3
@@ -148,22 +148,25 @@ def spellings(m: DataFrame, known: Vocabulary, evidence: DataFrame) -> tuple[Dat
 
     A node is a spelling in a region: core, given name and kinds as read from the name. Places that spell their name
     alike in one region share it, so blocks hold a spelling once however many places have it; places without a position
-    share one node of no region. A core that stands in too much company, or is no word of the name's own, tells no
-    restaurant: its nodes are split by door, else phone, else place. ``n`` counts places, ``rep`` is the smallest.
+    share one node of no region, places with several have a node in each region. A core that is no word of the name's
+    own tells no restaurant: its nodes are split by door, else phone, else place. ``n`` counts places, ``rep`` is the
+    smallest, ``size`` counts the names of the core.
     """
     forms = m.filter("name is not null").select("place_id", "name", "website").distinct().mapInArrow(_forms(known), FORM).distinct()
     first = lambda via: F.min(F.when(F.col("via") == via, F.col("what")))
-    of = evidence.groupBy("place_id").agg(first("region 0.0").alias("home"), first("region 0.5").alias("shifted"), first("door").alias("door"), first("phone").alias("phone"))
-    sets = forms.groupBy("heard", "given", "kinds").agg(F.bool_or("own").alias("own"))
+    of = evidence.groupBy("place_id").agg(first("door").alias("door"), first("phone").alias("phone"))
+    region = lambda i, c: evidence.filter(F.col("via") == f"region {i}").select("place_id", F.col("what").alias(c))
+    sets = forms.select("heard", "given", "kinds").distinct()
     company = sets.groupBy("heard").agg(F.count(F.lit(1)).alias("size"), F.max(F.size(_set("kinds"))).alias("most"), F.size(F.array_distinct(F.flatten(F.collect_set(_set("kinds"))))).alias("every"))
-    company = company.select("heard", (F.col("size") <= COMPANY).alias("telling"), (F.col("most") == F.col("every")).alias("one_choice"))
-    forms = forms.join(company, "heard").withColumn("telling", F.col("telling") & F.col("own")).join(of, "place_id", "left").na.fill("", ["home", "shifted"])
+    company = company.select("heard", "size", (F.col("most") == F.col("every")).alias("one_choice"))
+    forms = forms.join(company, "heard").withColumnRenamed("own", "telling").join(of, "place_id", "left").join(region(0.0, "home"), "place_id", "left").na.fill("", ["home"])
     apart = F.when(F.col("telling"), F.lit("")).otherwise(F.coalesce("door", "phone", "place_id"))
-    node = ["core", "heard", "given", "kinds", "telling", "one_choice", "home"]
-    forms = checkpoint(forms.withColumn("node", F.xxhash64("core", "given", "kinds", "home", apart)).select("place_id", "node", *node, "shifted", F.col("door").isNotNull().alias("has_door"), F.col("phone").isNotNull().alias("has_phone")))
+    node = ["core", "heard", "given", "kinds", "telling", "size", "one_choice", "home"]
+    forms = checkpoint(forms.withColumn("node", F.xxhash64("core", "given", "kinds", "home", apart)).select("place_id", "node", *node, F.col("door").isNotNull().alias("has_door"), F.col("phone").isNotNull().alias("has_phone")))
     nodes = forms.groupBy("node", *node).agg(F.count(F.lit(1)).cast("int").alias("n"), F.min("place_id").alias("rep"), F.bool_or("has_door").alias("has_door"), F.bool_or("has_phone").alias("has_phone"))
-    over = forms.filter("telling and shifted <> ''").groupBy("core", "given", "kinds", "shifted").agg(F.min("place_id").alias("a"), F.min_by("place_id", F.struct("home", "place_id")).alias("b"), F.max_by("place_id", F.struct("home", "place_id")).alias("c"))
-    over = over.select("a", "b").unionByName(over.select("a", F.col("c").alias("b")))
+    spelling = ["core", "given", "kinds", "shifted"]
+    sides = forms.filter("telling").join(region(0.5, "shifted"), "place_id").groupBy(*spelling, "home").agg(F.min("place_id").alias("a"))
+    over = sides.groupBy(*spelling).agg(F.collect_list("a").alias("sides"), F.min("a").alias("b")).select(F.explode("sides").alias("a"), "b")
     return forms.select("place_id", "node"), checkpoint(nodes), over
 
 
@@ -198,8 +201,11 @@ def candidates(shown_as: DataFrame, nodes: DataFrame, evidence: DataFrame) -> Da
 
 
 def compared(met: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, top, n, top_n, *fields): the level of every field of :data:`FIELDS` for the pairs of :func:`candidates`."""
-    carry = ["n", "core", "heard", "given", "kinds", "one_choice", "home", "has_phone", "has_door"]
+    """(node, top, n, top_n, *fields, form, top_form, teaches): the pairs of :func:`candidates`, field by field.
+
+    A field of :data:`FIELDS` is a level; the forms are the kinds and the given name of both.
+    """
+    carry = ["n", "core", "heard", "given", "kinds", "size", "one_choice", "home", "has_phone", "has_door"]
     d = met.join(nodes.select("node", *carry), "node").join(nodes.select(F.col("node").alias("top"), *[F.col(c).alias(f"top_{c}") for c in carry]), "top")
     d = with_edits(with_edits(d, "core", "top_core", MOST, "d"), "heard", "top_heard", MOST, "h")
     off = F.least(F.col("d"), F.col("h")) / F.least(F.length("heard"), F.length("top_heard"))
@@ -214,7 +220,9 @@ def compared(met: DataFrame, nodes: DataFrame) -> DataFrame:
     near = (F.abs(at("home", 1) - at("top_home", 1)) <= 1) & (F.abs(at("home", 2) - at("top_home", 2)) <= 1)
     where = F.when(F.col("position") == 1, 0).when((F.col("home") == "") | (F.col("top_home") == ""), 1).when(near, 2).otherwise(3)
     levels = {"name": spelling * len(KINDS) + kinds, "given": given, "phone": told("phone"), "door": told("door"), "position": where}
-    return d.select("node", "top", "n", "top_n", *[v.cast("int").alias(c) for c, v in levels.items()])
+    forms = [F.struct(F.col(f"{c}kinds").alias("kinds"), F.col(f"{c}given").alias("given")).alias(f"{c}form") for c in ("", "top_")]
+    teaches = (F.greatest("size", "top_size") <= COMPANY) | (F.greatest("phone", "door", "position") == 1)
+    return d.select("node", "top", "n", "top_n", *[v.cast("int").alias(c) for c, v in levels.items()], *forms, teaches.alias("teaches"))
 
 
 def _virtual(ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,18 +258,48 @@ def learnt(patterns: np.ndarray, counts: np.ndarray, rounds: int = 1_000) -> tup
     return float(odds), ratios
 
 
+def choices(pairs_: DataFrame) -> DataFrame:
+    """Adds ``choices``: of how many names that exclude each other one of a pair can be the other, 1 if it can be one only.
+
+    Names of one sound in a region exclude each other if their kinds or given names differ. A name can be any of those
+    that have kinds besides its own, or a given name where it has an initial or none; or, as likely as the fit says, any
+    of those that have other kinds, or another given name. An initial is one of the given names that it begins.
+    """
+    kinds, given = F.col("name") % len(KINDS), F.col("given")
+    apart = (kinds >= 2) | (given >= 2)
+    alike = pairs_.filter(apart & (F.col("name") < len(KINDS)))
+    sides = alike.select(F.col("node").alias("side"), "name", "given", F.col("form").alias("own"), F.col("top_form").alias("other"))
+    sides = sides.unionByName(alike.select(F.col("top").alias("side"), "name", "given", F.col("top_form").alias("own"), F.col("form").alias("other")))
+    fewer = F.length("own.kinds") < F.length("other.kinds")
+    ways = sides.filter("given < 3").groupBy("side").agg(F.count_distinct(F.when((kinds == 2) & fewer, F.col("other.kinds"))).alias("k2"), F.count_distinct(F.when(kinds == 3, F.col("other.kinds"))).alias("k3"))
+    called = sides.filter((kinds < 3) & ((given == 3) | (given == 2) & (F.length("own.given") < F.length("other.given")))).withColumn("initial", F.left("other.given", F.lit(1)))
+    called = called.groupBy("side", "given", "initial").agg(F.greatest(F.lit(1), F.count_distinct(F.when(F.length("other.given") > 1, F.col("other.given")))).alias("names"))
+    called = called.groupBy("side").agg(*[F.sum(F.when(given == i, F.col("names"))).alias(f"g{i}") for i in (2, 3)])
+    every = ["k2", "k3", "g2", "g3"]
+    counts = ways.unionByName(called, allowMissingColumns=True).groupBy("side").agg(*[F.max(c).alias(c) for c in every])
+    of = lambda side: counts.select(F.col("side").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in every])
+    most = [F.when(level == int(c[1]), F.greatest(f"node_{c}", f"top_{c}")) for c in every for level in [kinds if c[0] == "k" else given]]
+    several = pairs_.filter(apart).join(of("node"), "node", "left").join(of("top"), "top", "left").withColumn("choices", F.greatest(F.lit(1).cast("bigint"), *most))
+    return pairs_.filter(~apart).withColumn("choices", F.lit(1).cast("bigint")).unionByName(several.select(*pairs_.columns, "choices"))
+
+
 def scored(pairs_: DataFrame) -> DataFrame:
-    """Adds ``score``, the log odds that two nodes mean one restaurant, learnt from all the pairs.
+    """Adds ``score``, the log odds that two nodes mean one restaurant, learnt from the pairs that teach.
 
     Pairs whose names differ in more than half of their letters show the fit what two restaurants look like, and are
-    then left out: they are no spellings of each other.
+    then left out: they are no spellings of each other. A name that can be one of several is each of them with the same
+    probability as far as the names go: phone, door and near positions choose.
     """
-    rows = pairs_.groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("c")).collect()  # at most 4,032 patterns
+    rows = pairs_.filter("teaches").groupBy(*FIELDS).agg(F.count(F.lit(1)).alias("c")).collect()  # at most 4,032 patterns
     odds, ratios = learnt(np.array([[r[f] for f in FIELDS] for r in rows], dtype=int).reshape(-1, len(FIELDS)), np.array([float(r.c) for r in rows]))
+    ratio = {f: lambda level, w=w: F.element_at(F.array(*[F.lit(float(x)) for x in w]), level + 1) for f, w in zip(FIELDS, ratios)}
     score = F.lit(odds)
-    for f, w in zip(FIELDS, ratios):
-        score = score + F.element_at(F.array(*[F.lit(float(x)) for x in w]), F.col(f) + 1)
-    return pairs_.filter(F.col("name") < (len(SPELLING) - 1) * len(KINDS)).withColumn("score", score)
+    for f in FIELDS:
+        score = score + ratio[f](F.col(f))
+    by_name = F.lit(odds) + ratio["name"](F.col("name")) + ratio["given"](F.col("given")) + ratio["position"](F.when(F.col("position") == 0, 2).otherwise(F.col("position")))
+    others = F.log(F.col("choices") + (F.col("choices") - 1) * F.exp(by_name))
+    spelt = choices(pairs_).filter(F.col("name") < (len(SPELLING) - 1) * len(KINDS))
+    return spelt.withColumn("score", score - others).drop("form", "top_form", "teaches", "choices")
 
 
 def attached(pairs_: DataFrame) -> DataFrame:
@@ -287,7 +325,7 @@ def same_restaurant(current: DataFrame, places: DataFrame) -> DataFrame:
 
     Null and blank names, phones and addresses, null or zero positions and rows without a place id are no evidence;
     repeated rows count once; a place whose names are all blank has no partner. Empty tables give no rows; other
-    columns are ignored. Names alike in regions that do not touch are different restaurants.
+    columns are ignored. Names alike in regions that do not touch are different restaurants, unless a place was in both.
     """
     return components(link(current, places)).select(F.col("node").alias("place_id"), F.col("component").alias("restaurant"))
 

@@ -180,6 +180,43 @@ def test_namesakes_far_apart_stay_apart(spark):
     assert restaurants(spark, [*lilia, *dragons, *names]) == {("l1", "l3")}
 
 
+def pairs_of(*groups):
+    return {(x, y) for g in groups for x in g for y in g if x < y}
+
+
+def in_company(names, spellings):
+    """A place for each spelling in each name, all a kilometre apart; their ids by name; further positions."""
+    at = ((40.01 + i // 9 / 100, -70.99 + i % 9 / 100) for i in range(800))
+    current = [(f"{t}{i}", t.format(w), None, None, None, *next(at)) for t in names for i, w in enumerate(spellings)]
+    return current, [[f"{t}{i}" for i in range(len(spellings))] for t in names], at
+
+
+def test_a_name_in_much_company_is_linked_as_any_other(spark):
+    kinds = "Pub Bistro Cafe Canteen Creamery Deli Diner Gelateria Grill Inn Izakaya Kitchen Lounge Osteria Patisserie Bar Ramen Smokehouse Sushi Tavern Taqueria Trattoria Brasserie Bakery Rotisserie".split()
+    current, alike, at = in_company([f"{{}} {k}" for k in kinds], ["Kinlitrira", "Kinlitrira", "Kinlitira"])
+    bare = ("~", "Kinlitrira", None, "(555) 000-1111", None, *next(at))
+    assert restaurants(spark, [*current, bare]) == pairs_of(*alike)
+    pub = (*current[0][:3], "555 000 1111", *current[0][4:])
+    assert restaurants(spark, [pub, *current[1:], bare]) == pairs_of(*alike, [*alike[0], "~"])
+
+
+def test_a_family_name_in_much_company_is_linked_as_any_other(spark):
+    given = "Alexander Anthony Benjamin Charles Daniel Dorothy Edward Eleanor Frances Henrietta Isabella James John Katherine Lawrence Margaret Mary Michael Patricia Ramon Rebecca Richard Robert Samuel Theodore Thomas Victoria William".split()
+    current, alike, at = in_company([f"{g} {{}} Tavern" for g in given], ["Zalurban", "Zalurban", "Zalurbn"])
+    assert restaurants(spark, [*current, ("~", "Zalurban Tavern", None, None, None, *next(at))]) == pairs_of(*alike)
+
+
+def test_a_name_in_four_regions_that_touch(spark):
+    near = [(f"r{i}", "Kinlitrira Diner", None, None, None, lat, lng) for i, (lat, lng) in enumerate([(39.9, -70.1), (39.9, -69.9), (40.1, -70.1), (40.1, -69.9)])]
+    assert restaurants(spark, near) == pairs_of(["r0", "r1", "r2", "r3"])
+
+
+def test_a_place_that_moved_to_another_region(spark):
+    none = (None, None, None)
+    current = [("a", "Kinlitrira Diner", *none, 40.3, -70.3), ("b", "Kinlitrira Diner", *none, 34.3, -118.3), ("m", "Kinlitrira Diner", *none, 40.2, -70.2), ("m", "Kinlitrira Diner", *none, 34.2, -118.2)]
+    assert restaurants(spark, current) == pairs_of(["a", "b", "m"])
+
+
 def test_a_name_without_a_word_of_its_own(spark):
     current = [("j1", "Joe's Pizza", None, "(555) 000-1111", "5 Oak St, B", 40.7, -73.9), ("j2", "Joseph's Pizzeria", None, "555 000 1111", "5 Oak Street, B", 40.7, -73.9), ("j3", "Joe's Pizza", None, "(555) 000-2222", "9 Elm St, B", 40.8, -73.7), ("w1", "Wine Bar", None, "(555) 000-3333", None, None, None), ("w2", "Wine Bar", None, "(555) 000-4444", None, None, None)]
     assert restaurants(spark, current) == {("j1", "j2")}
